@@ -142,3 +142,37 @@ def connected_components(work: Workspace, edges: DataFrame, name: str) -> DataFr
             break
         mark = tuple(seen)
     return cur.select(F.col("a").alias("node"), F.col("b").alias("label")).union(cur.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+
+
+class Bits:
+    """A set of hashes as bits: members always test true, others rarely. Its size is bounded; it is broadcast."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.mask = words, np.uint64(len(words) * 64 - 1)
+
+    @staticmethod
+    def slots(df: DataFrame, column: str, n: int) -> np.ndarray:
+        """n: bits, a power of two; at most n / 64 rows reach the driver."""
+        rows = df.selectExpr(f"shiftright({column} & {n - 1}L, 6) AS w", f"shiftleft(1L, cast({column} & 63L AS int)) AS b")
+        words = np.zeros(n // 64, np.uint64)
+        for r in rows.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toLocalIterator():
+            words[r.w] = np.uint64(r.b & (2**64 - 1))
+        return words
+
+    def has(self, x: np.ndarray) -> np.ndarray:
+        at = x & self.mask
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == np.uint64(1)
+
+
+def bits_for(n: int) -> int:
+    return 1 << min(28, max(20, (16 * max(n, 1)).bit_length()))
+
+
+def digest_slots(df: DataFrame, column: str) -> np.ndarray:
+    """Bits of the first 8 bytes of binary digests."""
+    first = df.select(F.conv(F.substring(F.hex(column), 1, 16), 16, -10).cast("long").alias("h"))
+    return Bits.slots(first, "h", bits_for(df.count()))
+
+
+def digest_heads(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(d[:8] for d in digests), np.uint64).byteswap()

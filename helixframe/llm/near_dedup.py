@@ -27,10 +27,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Workspace, arrow_map, chunks_by_bytes, connected_components, flat
+from helixframe.llm.common import Bits, Workspace, arrow_map, chunks_by_bytes, connected_components, digest_heads, digest_slots, flat
 from helixframe.llm.textcore import U, mix, shingle_hashes
 
 COORDINATES = 64
@@ -82,7 +82,6 @@ def _profiles(width: int, coordinates: int, batches: Iterable[pa.RecordBatch]) -
                     "digest": pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
                     "sig": pa.array([s.tobytes() if len(x) else b"" for s, x in zip(sigs, sets, strict=True)], pa.binary()),
                     "short": pa.array([(s >> U(56)).astype(np.uint8).tobytes() for s in [mix(s) for s in sigs]], pa.binary()),
-                    "sh": pa.array([x.tobytes() for x in sets], pa.binary()),
                 }
             )
 
@@ -124,16 +123,41 @@ def _confirm(num: int, den: int, batches: Iterable[pa.RecordBatch]) -> Iterator[
         yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")})
 
 
-def _links(pairs: DataFrame, rows: DataFrame, least: int, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of representatives that pass the collision count, then the exact similarity."""
+def _sets(width: int, keep, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The full sets of the flagged texts, equal ones once in a task."""
+    bits, seen = Bits(np.frombuffer(keep.value, U)), set()
+    for batch in batches:
+        raw, offsets = flat(batch)
+        for lo, hi in chunks_by_bytes(offsets, CHUNK):
+            sets = [x.tobytes() for x in shingle_hashes(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width)]
+            digests = [xxhash.xxh3_128_digest(x) for x in sets]
+            at = [i for i in np.flatnonzero(bits.has(digest_heads(digests))).tolist() if sets[i]]
+            at = [i for i in at if digests[i] not in seen and not seen.add(digests[i])]
+            if len(seen) > 1_000_000:  # memory stays bounded; more rows, the same result
+                seen.clear()
+            yield pa.RecordBatch.from_pydict({"digest": pa.array([digests[i] for i in at], pa.binary()), "sh": pa.array([sets[i] for i in at], pa.binary())})
+
+
+def _links(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFrame, width: int, least: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of representatives that pass the collision count, then the exact similarity.
+
+    Full sets are made anew for the texts in pairs that pass the count, and only those are shuffled.
+    """
 
-    def beside(p: DataFrame, col: str, names: tuple[str, str]) -> DataFrame:
-        for at, name in zip(("a", "b"), names, strict=True):
-            p = p.join(rows.select(F.col("rid").alias(at), F.col(col).alias(name)), at)
+    def beside(p: DataFrame, right: DataFrame, col: str, names: tuple[str, str]) -> DataFrame:
+        for at, other in zip(("a", "b"), names, strict=True):
+            p = p.join(right.select(F.col("rid").alias(at), F.col(col).alias(other)), at)
         return p
 
-    near = arrow_map(beside(pairs, "short", ("sa", "sb")), _colliding, "a long, b long", least)
-    return arrow_map(beside(near, "sh", ("ha", "hb")), _confirm, "a long, b long", num, den)
+    near = work.write(arrow_map(beside(pairs, rows, "short", ("sa", "sb")), _colliding, "a long, b long", least), f"near{name}")
+    flagged = classes.join(near.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "rid", "left_semi").select("digest", "rid")
+    flagged = work.write(flagged, f"flagged{name}")
+    keep = work.spark.sparkContext.broadcast(digest_slots(flagged, "digest").tobytes())
+    sets = arrow_map(docs, _sets, "digest binary, sh binary", width, keep)
+    sets = work.write(sets.join(flagged, "digest").dropDuplicates(["digest"]).select("rid", "sh"), f"sets{name}")
+    links = work.write(arrow_map(beside(near, sets, "sh", ("ha", "hb")), _confirm, "a long, b long", num, den), f"links{name}")
+    work.drop(f"sets{name}")
+    return links
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5, coordinates: int = COORDINATES) -> tuple[DataFrame, Workspace]:
@@ -145,7 +169,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     work = Workspace(spark, "near")
     t = match_threshold(num / den, coordinates)
     prefix = coordinates - t + 1
-    profiles = arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), _profiles, "doc_id long, n long, digest binary, sig binary, short binary, sh binary", width, coordinates)
+    profiles = arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), _profiles, "doc_id long, n long, digest binary, sig binary, short binary", width, coordinates)
     rows = work.write(profiles.withColumn("rid", F.monotonically_increasing_id()), "rows")
     # One row for each distinct set: its smallest row number stands for it.
     classes = work.write(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least")), "classes")
@@ -160,7 +184,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     shared = work.write(posted.join(lists, "key"), "shared")
     work.drop("posted")
     stars = shared.where("rid <> hub").select(F.col("hub").alias("a"), F.col("rid").alias("b")).distinct()
-    links = work.write(_links(stars, rows, t, num, den), "links1")
+    links = _links(work, "1", stars, rows, classes, docs.select("text"), width, t, num, den)
     labels = connected_components(work, links, "cc1_")
     # What lists still hold in different components: all pairs but those with the hub, which are settled.
     open_ = shared.where("m > 2").join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("key", "rid", "hub", F.coalesce("label", "rid").alias("label"))
@@ -168,8 +192,10 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     open_ = work.write(open_.where("rid <> hub").join(split, "key", "left_semi"), "open")
     x, y = (open_.select("key", F.col("rid").alias(r), F.col("label").alias(f"l{r}")) for r in ("a", "b"))
     rest = x.join(y, "key").where("a < b and la <> lb").select("a", "b").distinct()
-    links2 = work.write(_links(rest, rows, t, num, den), "links2")
-    labels = connected_components(work, links.union(links2), "cc2_")
+    rest = work.write(rest, "rest")
+    if rest.head(1):
+        links = links.union(_links(work, "2", rest, rows, classes, docs.select("text"), width, t, num, den))
+        labels = connected_components(work, links, "cc2_")
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "least", F.coalesce("label", "rid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = work.write(named.join(least, "component").select("digest", "component", "component_id"), "named")

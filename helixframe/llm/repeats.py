@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Workspace, arrow_map, chunks_by_bytes, flat
+from helixframe.llm.common import Bits, Workspace, arrow_map, bits_for, chunks_by_bytes, digest_heads, digest_slots, flat
 from helixframe.llm.textcore import U, mix, prefix_hash, span_hash
 
 GRAM = 64
@@ -75,40 +75,12 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarr
     return np.searchsorted(offsets, lo, side="right") - 1, gram[place[lo]], place[lo], lo, hi
 
 
-class Bits:
-    """A set of hashes as bits: members always test true, others rarely. Its size is bounded; it is broadcast."""
-
-    def __init__(self, words: np.ndarray):
-        self.words, self.mask = words, U(len(words) * 64 - 1)
-
-    @staticmethod
-    def slots(df: DataFrame, column: str, n: int) -> np.ndarray:
-        """n: bits, a power of two; at most n / 64 rows reach the driver."""
-        rows = df.selectExpr(f"shiftright({column} & {n - 1}L, 6) AS w", f"shiftleft(1L, cast({column} & 63L AS int)) AS b")
-        words = np.zeros(n // 64, U)
-        for r in rows.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toLocalIterator():
-            words[r.w] = U(r.b & (2**64 - 1))
-        return words
-
-    def has(self, x: np.ndarray) -> np.ndarray:
-        at = x & self.mask
-        return (self.words[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == U(1)
-
-
-def bits_for(n: int) -> int:
-    return 1 << min(28, max(20, (16 * max(n, 1)).bit_length()))
-
-
 def _digests(raw: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     view = memoryview(np.ascontiguousarray(raw))
     o = offsets.tolist()
     return [hashlib.sha256(view[a:b]).digest() for a, b in zip(o, o[1:], strict=False)]
 
 
-def _short(digests: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(d[:8] for d in digests), U)
-
-
 def _profile(length: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = flat(batch)
@@ -128,7 +100,7 @@ def _profile(length: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def _contexts(length: int, keep, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """An occurrence for each anchor in `keep`; the bytes of a context only the first time in a task, each text once."""
-    bits = Bits(np.frombuffer(keep.value, U))
+    bits = Bits(np.frombuffer(keep.value, np.uint64))
     docs, seen = set(), set()
     for batch in batches:
         raw, offsets = flat(batch)
@@ -265,12 +237,12 @@ def _window_rows(length: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.
 
 
 def _flagged(keep, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = Bits(np.frombuffer(keep.value, U))
+    bits = Bits(np.frombuffer(keep.value, np.uint64))
     for batch in batches:
         raw, offsets = flat(batch)
         digests = _digests(raw, offsets)
         if digests:
-            hit = np.flatnonzero(bits.has(_short(digests).byteswap()))
+            hit = np.flatnonzero(bits.has(digest_heads(digests)))
             yield pa.RecordBatch.from_pydict({"doc": pa.array([digests[i] for i in hit], pa.binary()), "text": batch.column("text").take(pa.array(hit))})
 
 
@@ -340,8 +312,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, most: int = MOST) -> Data
     spark = docs.sparkSession
     rows, spans, work = repeated_spans(docs, length, most)
     by_doc = work.write(spans.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "by_doc")  # bounded by the text
-    flags = by_doc.select(F.conv(F.substring(F.hex("doc"), 1, 16), 16, -10).cast("long").alias("h"))
-    keep = spark.sparkContext.broadcast(Bits.slots(flags, "h", bits_for(flags.count())).tobytes())
+    keep = spark.sparkContext.broadcast(digest_slots(by_doc, "doc").tobytes())
     texts = arrow_map(docs.select("text"), _flagged, "doc binary, text string", keep)
     cut = work.write(arrow_map(texts.join(by_doc.hint("merge"), "doc"), _cut, "digest binary, removed long, spans long, kept string"), "cut").dropDuplicates(["digest"])
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
