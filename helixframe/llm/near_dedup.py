@@ -6,9 +6,9 @@
 3. Each representative is posted under its (coordinate, value) pairs. Two texts that agree in at least T coordinates
    share one of the first K - T + 1 pairs of any order that all texts use, so only that prefix is posted. The order
    is by how common a pair is, counted in a sketch of fixed size: what many texts share is skipped.
-4. Each posting list is a star to its smallest member first; the other pairs of a list are only made where its
-   members are still in different components afterwards. So no list is expanded into all its pairs, and no link
-   between two components is lost.
+4. A posting list is cut at random into groups of about TOGETHER, whose pairs are tried; ROUNDS times, each on the lists
+   that still hold different components. Then every pair of what is left in different components is made. So a list of
+   near copies is hardly ever expanded into all its pairs, and no link between two components is lost.
 5. Collisions are counted on byte-wide signatures (never fewer than the true count); pairs at or above T are
    confirmed on the full shingle sets.
 
@@ -25,6 +25,7 @@ import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,11 +34,14 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import Bits, Workspace, arrow_map, chunks_by_bytes, connected_components, digest_heads, digest_slots, flat
 from helixframe.llm.textcore import U, mix, shingle_hashes
 
-COORDINATES = 64
-SKETCH = 1 << 16
+COORDINATES = 256
+SKETCH = 1 << 22
+BLOCK = 1 << 13
+TOGETHER = 4
+ROUNDS = 2
 CHUNK = 1 << 20
-_FACTORS = np.random.default_rng(4).integers(0, 1 << 64, 1024, dtype=U) | U(1)
-_TAGS = np.random.default_rng(5).integers(0, 1 << 64, 1024, dtype=U)
+_FACTORS = np.random.default_rng(4).integers(0, 1 << 32, 2048, dtype=np.uint32) | np.uint32(1)
+_TAGS = np.random.default_rng(5).integers(0, 1 << 64, 2048, dtype=U)
 
 
 def match_threshold(similarity: float, coordinates: int = COORDINATES, miss: float = 1e-5) -> int:
@@ -52,15 +56,16 @@ def match_threshold(similarity: float, coordinates: int = COORDINATES, miss: flo
 
 
 def signature(x: np.ndarray, coordinates: int) -> np.ndarray:
-    a, out = _FACTORS[:coordinates], np.full(coordinates, U(2**64 - 1), U)
-    for i in range(0, len(x), 4096):
-        np.minimum(out, np.multiply.outer(a, x[i : i + 4096]).min(axis=1), out=out)
+    """Minima of the set's hashes, 32 bits of each, under one odd factor a coordinate."""
+    x, a, out = (x >> U(32)).astype(np.uint32), _FACTORS[:coordinates], np.full(coordinates, 2**32 - 1, np.uint32)
+    for i in range(0, len(x), 1024):
+        np.minimum(out, np.multiply.outer(a, x[i : i + 1024]).min(axis=1), out=out)
     return out
 
 
 def pair_keys(sig: np.ndarray) -> np.ndarray:
     """A key for each (coordinate, value) of the rows of sig."""
-    return mix(sig ^ _TAGS[: sig.shape[-1]])
+    return mix(sig.astype(U) ^ _TAGS[: sig.shape[-1]])
 
 
 def sketch_slot(keys: np.ndarray) -> np.ndarray:
@@ -81,25 +86,44 @@ def _profiles(width: int, coordinates: int, batches: Iterable[pa.RecordBatch]) -
                     "n": pa.array([len(x) for x in sets], pa.int64()),
                     "digest": pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
                     "sig": pa.array([s.tobytes() if len(x) else b"" for s, x in zip(sigs, sets, strict=True)], pa.binary()),
-                    "short": pa.array([(s >> U(56)).astype(np.uint8).tobytes() for s in [mix(s) for s in sigs]], pa.binary()),
+                    "short": pa.array([mix(s.astype(U)).astype(np.uint8).tobytes() for s in sigs], pa.binary()),
                 }
             )
 
 
 def _common(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(SKETCH, np.int64)
+    """How often each slot of the sketch is used in this task, as blocks of counters."""
+    total, waiting = np.zeros(SKETCH, np.uint32), []
+
+    def add() -> None:
+        if waiting:
+            total[:] += np.bincount(np.concatenate(waiting), minlength=SKETCH).astype(np.uint32)
+            waiting.clear()
+
     for batch in batches:
-        sig = b"".join(batch.column("sig").to_pylist())
-        total += np.bincount(sketch_slot(pair_keys(np.frombuffer(sig, U).reshape(-1, COORDINATES)).ravel()), minlength=SKETCH)
-    (slot,) = np.nonzero(total)
-    yield pa.RecordBatch.from_pydict({"slot": pa.array(slot, pa.int64()), "c": pa.array(total[slot], pa.int64())})
+        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        waiting.append(sketch_slot(pair_keys(sig)).ravel())
+        if sum(map(len, waiting)) > SKETCH:
+            add()
+    add()
+    blocks = total.reshape(-1, BLOCK)
+    (used,) = np.nonzero(blocks.any(axis=1))
+    yield pa.RecordBatch.from_pydict({"block": pa.array(used, pa.int64()), "counts": pa.array([blocks[i].tobytes() for i in used], pa.binary())})
+
+
+def _add_up(part: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(BLOCK, np.uint32)
+    for x in part["counts"]:
+        total += np.frombuffer(x, np.uint32)
+    return pd.DataFrame({"block": part["block"].iloc[:1], "counts": [total.tobytes()]})
 
 
 def _post(sketch, prefix: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.frombuffer(sketch.value, np.int64)
+    counts = np.frombuffer(sketch.value, np.uint32)
     for batch in batches:
-        keys = pair_keys(np.frombuffer(b"".join(batch.column("sig").to_pylist()), U).reshape(-1, COORDINATES))
-        order = np.lexsort((keys, counts[sketch_slot(keys)]), axis=1)[:, :prefix]
+        keys = pair_keys(np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES))
+        rare = (counts[sketch_slot(keys)].astype(U) << U(24)) | (keys >> U(40))  # by count, then by hash
+        order = np.argpartition(rare, prefix - 1, axis=1)[:, :prefix]
         rid = np.repeat(batch.column("rid").to_numpy(zero_copy_only=False), prefix)
         yield pa.RecordBatch.from_pydict({"key": pa.array(np.take_along_axis(keys, order, axis=1).ravel().view(np.int64)), "rid": pa.array(rid, pa.int64())})
 
@@ -173,29 +197,38 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     rows = work.write(profiles.withColumn("rid", F.monotonically_increasing_id()), "rows")
     # One row for each distinct set: its smallest row number stands for it.
     classes = work.write(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least")), "classes")
-    counts = arrow_map(rows.where("n > 0").select("sig"), _common, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).collect()  # at most SKETCH rows
-    sketch = np.zeros(SKETCH, np.int64)
-    for r in counts:
-        sketch[r.slot] = r.c
+    counts = arrow_map(rows.where("n > 0").select("sig"), _common, "block long, counts binary").groupBy("block").applyInPandas(_add_up, "block long, counts binary")
+    sketch = np.zeros((SKETCH // BLOCK, BLOCK), np.uint32)
+    for r in counts.toLocalIterator():  # the sketch's size is fixed
+        sketch[r.block] = np.frombuffer(r.counts, np.uint32)
     sketch = spark.sparkContext.broadcast(sketch.tobytes())
     posted = arrow_map(rows.select("rid", "sig").join(classes.select("rid"), "rid", "left_semi"), _post, "key long, rid long", sketch, prefix)
     posted = work.write(posted, "posted")
-    lists = posted.groupBy("key").agg(F.min("rid").alias("hub"), F.count("*").alias("m")).where("m > 1")
-    shared = work.write(posted.join(lists, "key"), "shared")
+    lists = posted.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    open_ = work.write(posted.join(lists, "key").withColumn("label", F.col("rid")), "shared")
     work.drop("posted")
-    stars = shared.where("rid <> hub").select(F.col("hub").alias("a"), F.col("rid").alias("b")).distinct()
-    links = _links(work, "1", stars, rows, classes, docs.select("text"), width, t, num, den)
-    labels = connected_components(work, links, "cc1_")
-    # What lists still hold in different components: all pairs but those with the hub, which are settled.
-    open_ = shared.where("m > 2").join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("key", "rid", "hub", F.coalesce("label", "rid").alias("label"))
-    split = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = work.write(open_.where("rid <> hub").join(split, "key", "left_semi"), "open")
-    x, y = (open_.select("key", F.col("rid").alias(r), F.col("label").alias(f"l{r}")) for r in ("a", "b"))
-    rest = x.join(y, "key").where("a < b and la <> lb").select("a", "b").distinct()
-    rest = work.write(rest, "rest")
-    if rest.head(1):
-        links = links.union(_links(work, "2", rest, rows, classes, docs.select("text"), width, t, num, den))
-        labels = connected_components(work, links, "cc2_")
+    texts, links, labels = docs.select("text"), None, None
+    for r in range(ROUNDS + 1):
+        if r < ROUNDS:
+            # Small groups of each list, other ones each round; a short list is one group.
+            by = F.when(F.col("m") <= 2 * TOGETHER, F.lit(0)).otherwise(F.pmod(F.xxhash64("rid", "key", F.lit(r)), F.ceil(F.col("m") / TOGETHER)))
+            part = open_.withColumn("g", by.cast("long"))
+        else:
+            # What still joins different components: every pair of long lists; short ones are settled.
+            part = open_.where(F.col("m") > 2 * TOGETHER).withColumn("g", F.lit(0).cast("long"))
+        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}")) for k in ("a", "b"))
+        pairs = work.write(x.join(y, ["key", "g"]).where("a < b and la <> lb").select("a", "b").distinct(), f"pairs{r}")
+        if not pairs.head(1):
+            continue
+        found = _links(work, str(r), pairs, rows, classes, texts, width, t, num, den)
+        links = found if links is None else links.union(found)
+        labels = connected_components(work, links, f"cc{r}_")
+        if r < ROUNDS:
+            open_ = open_.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+            split = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+            open_ = work.write(open_.join(split, "key", "left_semi"), f"open{r}")
+    if labels is None:
+        labels = spark.createDataFrame([], "node long, label long")
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "least", F.coalesce("label", "rid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = work.write(named.join(least, "component").select("digest", "component", "component_id"), "named")
