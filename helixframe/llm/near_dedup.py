@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import Bits, Workspace, arrow_map, chunks_by_bytes, connected_components, digest_heads, digest_slots, flat
 from helixframe.llm.textcore import U, mix, shingle_hashes
 
-COORDINATES = 256
+COORDINATES = 128
 SKETCH = 1 << 22
 BLOCK = 1 << 13
 TOGETHER = 4
@@ -125,7 +125,8 @@ def _post(sketch, prefix: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa
         rare = (counts[sketch_slot(keys)].astype(U) << U(24)) | (keys >> U(40))  # by count, then by hash
         order = np.argpartition(rare, prefix - 1, axis=1)[:, :prefix]
         rid = np.repeat(batch.column("rid").to_numpy(zero_copy_only=False), prefix)
-        yield pa.RecordBatch.from_pydict({"key": pa.array(np.take_along_axis(keys, order, axis=1).ravel().view(np.int64)), "rid": pa.array(rid, pa.int64())})
+        n = np.repeat(batch.column("n").to_numpy(zero_copy_only=False), prefix)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(np.take_along_axis(keys, order, axis=1).ravel().view(np.int64)), "rid": pa.array(rid, pa.int64()), "n": pa.array(n, pa.int64())})
 
 
 def _colliding(least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +175,7 @@ def _links(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, classe
         return p
 
     near = work.write(arrow_map(beside(pairs, rows, "short", ("sa", "sb")), _colliding, "a long, b long", least), f"near{name}")
-    flagged = classes.join(near.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "rid", "left_semi").select("digest", "rid")
+    flagged = classes.join(near.select(F.col("a").alias("rid")).union(near.select("b")).distinct(), "rid", "left_semi").select("digest", "rid")
     flagged = work.write(flagged, f"flagged{name}")
     keep = work.spark.sparkContext.broadcast(digest_slots(flagged, "digest").tobytes())
     sets = arrow_map(docs, _sets, "digest binary, sh binary", width, keep)
@@ -202,8 +203,8 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     for r in counts.toLocalIterator():  # the sketch's size is fixed
         sketch[r.block] = np.frombuffer(r.counts, np.uint32)
     sketch = spark.sparkContext.broadcast(sketch.tobytes())
-    posted = arrow_map(rows.select("rid", "sig").join(classes.select("rid"), "rid", "left_semi"), _post, "key long, rid long", sketch, prefix)
-    posted = work.write(posted, "posted")
+    posted = arrow_map(rows.select("rid", "n", "sig").join(classes.select("rid"), "rid", "left_semi"), _post, "key long, rid long, n long", sketch, prefix)
+    posted = work.write(posted, "posted").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")  # once, for both uses
     lists = posted.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     open_ = work.write(posted.join(lists, "key").withColumn("label", F.col("rid")), "shared")
     work.drop("posted")
@@ -216,8 +217,9 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
         else:
             # What still joins different components: every pair of long lists; short ones are settled.
             part = open_.where(F.col("m") > 2 * TOGETHER).withColumn("g", F.lit(0).cast("long"))
-        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}")) for k in ("a", "b"))
-        pairs = work.write(x.join(y, ["key", "g"]).where("a < b and la <> lb").select("a", "b").distinct(), f"pairs{r}")
+        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}"), F.col("n").alias(f"n{k}")) for k in ("a", "b"))
+        alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb)"  # sets of other sizes can't be similar enough
+        pairs = work.write(x.join(y, ["key", "g"]).where(f"a < b and la <> lb and {alike}").select("a", "b").distinct(), f"pairs{r}")
         if not pairs.head(1):
             continue
         found = _links(work, str(r), pairs, rows, classes, texts, width, t, num, den)
