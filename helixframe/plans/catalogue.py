@@ -5,15 +5,243 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from helixframe.operators import export, flatten, merge, shard
+from helixframe.plans.variants import CTE, variants
+from helixframe.sources import vcf
+
+Query = Callable[[SparkSession, str], DataFrame]
+_found: dict[str, tuple[Query, str | None]] = {}
+SITE = ("reference_name", "start_position", "end_position", "reference_bases")
+REGIONS = [shard.parse_region("chr1:0-1,000"), shard.parse_region("chr2")]
+SHARDS = shard.parse_shards(
+    [{"output_table": {"table_name_suffix": f"chr{i}", "regions": [f"chr{i}"], "partition_range_end": 2000}} for i in range(1, 11)]
+    + [{"output_table": {"table_name_suffix": "chr11_low", "regions": ["chr11:0-1,000"], "partition_range_end": 2000}}, {"output_table": {"table_name_suffix": "rest", "regions": ["residual"], "partition_range_end": 2000}}]
+)
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _found[f.__name__] = (f, None if sql is None else CTE + sql)
+        return f
+
+    return add
+
+
+def alternates(v: DataFrame) -> DataFrame:
+    return v.select(*SITE, "names", "quality", F.inline("alternate_bases"))
+
+
+def annotations(v: DataFrame) -> DataFrame:
+    x = v.select(*SITE, F.explode("alternate_bases").alias("a"))
+    return x.select(*SITE, F.col("a.alt").alias("alt"), F.inline("a.vep"))
+
+
+@query("SELECT min(start_position) AS min_start, max(end_position) AS max_end, count(DISTINCT k) AS n FROM ve WHERE reference_name = 'chr1' AND symbol = 'Brand#11'")
+def q1_gene_range(spark, sf_dir):
+    has = F.exists("alternate_bases", lambda a: F.exists(a["vep"], lambda e: e["SYMBOL"] == "Brand#11"))
+    return variants(spark, sf_dir).where((F.col("reference_name") == "chr1") & has).agg(F.min("start_position").alias("min_start"), F.max("end_position").alias("max_end"), F.count("*").alias("n"))
+
+
+@query("SELECT filter AS variant_type, count(*) AS n FROM (SELECT DISTINCT start_position, reference_bases, alt, filter FROM va WHERE reference_name = 'chr1' AND start_position BETWEEN 100 AND 1500) GROUP BY 1")
+def q2_variant_types(spark, sf_dir):
+    v = variants(spark, sf_dir).where("reference_name = 'chr1' AND start_position >= 100 AND start_position <= 1500")
+    x = v.select("start_position", "reference_bases", F.explode("alternate_bases.alt").alias("alt"), F.col("filter")[0].alias("variant_type")).distinct()
+    return x.groupBy("variant_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT start_position, reference_bases, alt FROM va WHERE reference_name = 'chr1' AND start_position BETWEEN 100 AND 1500")
+def q3_distinct_variants(spark, sf_dir):
+    v = variants(spark, sf_dir).where("reference_name = 'chr1' AND start_position >= 100 AND start_position <= 1500")
+    return v.select("start_position", "reference_bases", F.explode("alternate_bases.alt").alias("alt")).distinct()
+
+
+@query("SELECT k, alt, AC, AC_male, AC_female FROM va WHERE reference_name = 'chr3' AND start_position >= 0 AND end_position <= 1000")
+def q4_allele_counts(spark, sf_dir):
+    v = variants(spark, sf_dir).where(shard.region_filter([shard.parse_region("chr3:0-1000")]))
+    return v.select(F.col("NS").alias("k"), F.inline("alternate_bases")).select("k", "alt", "AC", "AC_male", "AC_female")
+
+
+@query("SELECT k, alt, AC_female FROM va WHERE reference_name = 'chr3' AND AC > 10 AND AC_male = 0 ORDER BY AC_female DESC")
+def q5_only_one_sex(spark, sf_dir):
+    x = variants(spark, sf_dir).where("reference_name = 'chr3'").select(F.col("NS").alias("k"), F.inline("alternate_bases"))
+    return x.where("AC > 10 AND AC_male = 0").select("k", "alt", "AC_female").orderBy(F.desc("AC_female"))
+
+
+@query("SELECT k, alt, AC FROM va WHERE (AC_male = AC) <> (AC_female = AC) AND reference_name IN ('chr1', 'chr2')")
+def q6_private_alternates(spark, sf_dir):
+    x = variants(spark, sf_dir).where("reference_name IN ('chr1', 'chr2')").select(F.col("NS").alias("k"), F.inline("alternate_bases"))
+    return x.where("(AC_male = AC) <> (AC_female = AC)").select("k", "alt", "AC")
+
+
+@query()
+def q7_column_catalogue(spark, sf_dir):
+    """Paths and types of the nested table."""
+
+    def walk(name, t):
+        yield name, t.simpleString()
+        t = getattr(t, "elementType", t)
+        for f in getattr(t, "fields", []):
+            yield from walk(f"{name}.{f.name}", f.dataType)
+
+    rows = [x for f in variants(spark, sf_dir).schema.fields for x in walk(f.name, f.dataType)]
+    return spark.createDataFrame(rows, "field_path string, data_type string")
+
+
+@query("""SELECT reference_name, count(*) AS n_variants, CAST(sum(n_alt) AS BIGINT) AS n_alt, round(sum(ac) / sum(an), 3) AS af, max(genes) AS genes FROM
+  (SELECT v.reference_name, v.k, count(a.alt) AS n_alt, sum(a.AC) AS ac, sum(a.AN) AS an FROM v LEFT JOIN a USING (k) GROUP BY 1, 2) t
+  JOIN (SELECT reference_name, string_agg(DISTINCT symbol, ', ' ORDER BY symbol) AS genes FROM ve GROUP BY 1) g USING (reference_name) GROUP BY 1""")
+def q8_burden(spark, sf_dir):
+    v = variants(spark, sf_dir)
+    total = lambda f: F.aggregate(F.col(f"alternate_bases.{f}"), F.lit(0).cast("long"), lambda a, b: a + b)
+    sums = v.groupBy("reference_name").agg(F.count("*").alias("n_variants"), F.sum(F.size("alternate_bases").cast("long")).alias("n_alt"), F.round(F.sum(total("AC")) / F.sum(total("AN")), 3).alias("af"))
+    genes = annotations(v).select("reference_name", "SYMBOL").distinct().groupBy("reference_name").agg(F.array_join(F.array_sort(F.collect_list("SYMBOL")), ", ").alias("genes"))
+    return sums.join(genes, "reference_name")
+
+
+@query("SELECT k, alt, symbol, consequence FROM ve WHERE symbol = 'Brand#12' AND regexp_matches(consequence, 'STEEL|BRASS')")
+def q9_consequence(spark, sf_dir):
+    x = variants(spark, sf_dir).select(F.col("NS").alias("k"), F.explode("alternate_bases").alias("a")).select("k", "a.alt", F.inline("a.vep"))
+    return x.where((F.col("SYMBOL") == "Brand#12") & F.col("Consequence").rlike("STEEL|BRASS")).select("k", "alt", F.col("SYMBOL").alias("symbol"), F.col("Consequence").alias("consequence"))
+
+
+@query("SELECT k, alt, round(AC / AN, 6) AS af FROM va WHERE AC / AN > 0.3")
+def q10_frequent(spark, sf_dir):
+    x = variants(spark, sf_dir).select(F.col("NS").alias("k"), F.inline("alternate_bases"))
+    return x.where(F.col("AC") / F.col("AN") > 0.3).select("k", "alt", F.round(F.col("AC") / F.col("AN"), 6).alias("af"))
+
+
+@query("SELECT k, alt, abs(AC_male - AC_female) AS diff FROM va ORDER BY diff DESC, k, alt LIMIT 1000")
+def q11_largest_difference(spark, sf_dir):
+    x = variants(spark, sf_dir).select(F.col("NS").alias("k"), F.inline("alternate_bases"))
+    return x.select("k", "alt", F.abs(F.col("AC_male") - F.col("AC_female")).alias("diff")).orderBy(F.desc("diff"), "k", "alt").limit(1000)
+
+
+@query("SELECT symbol, count(*) AS n FROM (SELECT DISTINCT symbol, reference_name, start_position, alt FROM ve WHERE impact <> 'LOW') GROUP BY 1 ORDER BY n DESC, symbol LIMIT 1000")
+def q12_genes_by_variants(spark, sf_dir):
+    x = annotations(variants(spark, sf_dir)).where("IMPACT <> 'LOW'").select(F.col("SYMBOL").alias("symbol"), "reference_name", "start_position", "alt").distinct()
+    return x.groupBy("symbol").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "symbol").limit(1000)
+
+
+@query("SELECT start_position // 250 AS bucket, count(*) AS n FROM (SELECT DISTINCT reference_name, start_position, reference_bases, alt FROM va) GROUP BY 1")
+def q13_buckets(spark, sf_dir):
+    x = variants(spark, sf_dir).select("reference_name", "start_position", "reference_bases", F.explode("alternate_bases.alt").alias("alt")).distinct()
+    return x.groupBy(F.expr("start_position DIV 250").alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT k, sample_id, CASE WHEN g = 0 THEN reference_bases ELSE coalesce(split_part(al.alts, ',', g), '') END AS bases FROM (SELECT *, unnest([g1, g2]) AS g FROM vc) LEFT JOIN al USING (k)")
+def q14_flatten_calls(spark, sf_dir):
+    x = variants(spark, sf_dir).select("NS", "reference_bases", "alternate_bases", F.explode("call").alias("c")).select("*", F.explode("c.genotype").alias("g"))
+    alt = F.coalesce(F.get("alternate_bases.alt", F.col("g") - 1), F.lit(""))
+    return x.select(F.col("NS").alias("k"), "c.sample_id", F.when(F.col("g") == 0, F.col("reference_bases")).otherwise(alt).alias("bases"))
+
+
+@query("""SELECT reference_name, start_position, end_position, reference_bases, b.alt, 'rs' || k AS names, quality, filter, sample_id, CAST(g AS INT) AS genotype
+  FROM (SELECT *, unnest([g1, g2]) AS g FROM vc) JOIN (SELECT k, alt, row_number() OVER (PARTITION BY k ORDER BY alt) AS off FROM a) b USING (k) WHERE g = 0 OR g = off""")
+def q15_full_flatten(spark, sf_dir):
+    return flatten.full(variants(spark, sf_dir))
+
+
+@query("SELECT reference_name, start_position, reference_bases, alt, consequence FROM ve WHERE symbol = 'Brand#23' AND impact = 'HIGH'")
+def q16_high_impact(spark, sf_dir):
+    x = annotations(variants(spark, sf_dir)).where("SYMBOL = 'Brand#23' AND IMPACT = 'HIGH'")
+    return x.select("reference_name", "start_position", "reference_bases", "alt", F.col("Consequence").alias("consequence"))
+
+
+@query("SELECT k, alt, symbol FROM ve WHERE impact = 'HIGH' AND symbol IN (SELECT p_brand FROM part WHERE p_size = 7 AND p_retailprice > 1500)")
+def q17_pathway(spark, sf_dir):
+    x = variants(spark, sf_dir).select(F.col("NS").alias("k"), F.explode("alternate_bases").alias("a")).select("k", "a.alt", F.inline("a.vep"))
+    genes = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_size = 7 AND p_retailprice > 1500").select(F.col("p_brand").alias("SYMBOL")).distinct()
+    return x.where("IMPACT = 'HIGH'").join(genes, "SYMBOL", "left_semi").select("k", "alt", F.col("SYMBOL").alias("symbol"))
+
+
+@query("SELECT sample_id, reference_name, count(*) AS n, CAST(sum(start_position) AS BIGINT) AS sum_start FROM vc WHERE sample_id IN (7, 42) GROUP BY 1, 2")
+def q18_sample_lookup(spark, sf_dir):
+    x = flatten.by_sample(variants(spark, sf_dir)).where("sample_id IN (7, 42)")
+    return x.groupBy("sample_id", "reference_name").agg(F.count("*").alias("n"), F.sum("start_position").alias("sum_start"))
+
+
+@query("""SELECT v.reference_name || chr(9) || (start_position + 1) || chr(9) || 'rs' || v.k || chr(9) || reference_bases || chr(9) || coalesce(al.alts, '.') AS line,
+  coalesce(s1.g1 || '/' || s1.g2, './.') AS call1, coalesce(s2.g1 || '/' || s2.g2, './.') AS call2 FROM v LEFT JOIN al USING (k)
+  LEFT JOIN c s1 ON s1.k = v.k AND s1.sample_id = 1 LEFT JOIN c s2 ON s2.k = v.k AND s2.sample_id = 2
+  WHERE (reference_name = 'chr1' AND start_position >= 0 AND end_position <= 1000) OR reference_name = 'chr2'""")
+def q19_export(spark, sf_dir):
+    """Export lines of regions and two samples, read apart again."""
+    x = export.densify(variants(spark, sf_dir).where(shard.region_filter(REGIONS)), [1, 2]).select(F.split(export.encode_line(), "\t").alias("f"))
+    call = lambda i: F.when(F.col("f")[i] == ".", "./.").otherwise(F.col("f")[i])
+    return x.select(F.array_join(F.slice("f", 1, 5), "\t").alias("line"), call(9).alias("call1"), call(10).alias("call2"))
+
+
+@query("SELECT reference_name, count(*) AS n, CAST(sum(start_position) AS BIGINT) AS sum_start, CAST(sum(end_position) AS BIGINT) AS sum_end FROM v GROUP BY 1")
+def q20_checksums(spark, sf_dir):
+    return variants(spark, sf_dir).groupBy("reference_name").agg(F.count("*").alias("n"), F.sum("start_position").alias("sum_start"), F.sum("end_position").alias("sum_end"))
+
+
+@query("""SELECT reference_name, start_position, reference_bases, coalesce(alts, '') AS alts, max(quality) AS quality, string_agg(DISTINCT filter, ';' ORDER BY filter) AS filters,
+  string_agg('rs' || k, ';' ORDER BY 'rs' || k) AS names, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_calls FROM v LEFT JOIN al USING (k) LEFT JOIN (SELECT k, count(*) AS n FROM c GROUP BY k) USING (k) GROUP BY 1, 2, 3, 4""")
+def a2_move_to_calls(spark, sf_dir):
+    m = merge.move_to_calls(variants(spark, sf_dir))
+    return m.select("reference_name", "start_position", "reference_bases", F.array_join("alternate_bases.alt", ",").alias("alts"), "quality", F.array_join("filter", ";").alias("filters"), F.array_join("names", ";").alias("names"), F.size("call").cast("long").alias("n_calls"))
+
+
+@query("SELECT CAST(sum(quality * n) AS DOUBLE) > 0 AS positive, CAST(sum(n) AS BIGINT) AS calls, count(DISTINCT quality) AS qualities FROM v JOIN (SELECT k, count(*) AS n FROM c GROUP BY k) USING (k)")
+def a3_copied_to_calls(spark, sf_dir):
+    m = merge.move_to_calls(variants(spark, sf_dir), "^NS$", copy_quality=True, copy_filter=True).select(F.explode("call").alias("c")).select("c.*")
+    return m.agg((F.sum("quality") > 0).alias("positive"), F.count("*").alias("calls"), F.count_distinct("quality").alias("qualities"))
+
+
+@query("""SELECT CASE WHEN CAST(substring(reference_name, 4) AS INT) <= 10 THEN reference_name WHEN reference_name = 'chr11' AND start_position < 1000 THEN 'chr11_low' ELSE 'rest' END AS shard,
+  start_position // 10 AS bucket, count(*) AS n FROM v GROUP BY 1, 2""")
+def j3_shards(spark, sf_dir):
+    return shard.route(variants(spark, sf_dir), SHARDS).groupBy("shard", F.col("bucket").cast("long").alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT reference_name, start_position, end_position, reference_bases, coalesce(alts, '') AS alts, 'rs' || v.k AS names, filter, CAST(coalesce(n, 0) AS BIGINT) AS n_calls, CAST(coalesce(g, 0) AS BIGINT) AS sum_genotype FROM v LEFT JOIN al USING (k) LEFT JOIN (SELECT k, count(*) AS n, sum(g1 + g2) AS g FROM c GROUP BY k) USING (k)")
+def s8_parse_round_trip(spark, sf_dir):
+    """Rows to VCF lines and back through the parser."""
+    rows = vcf.well_formed(vcf.parse(variants(spark, sf_dir).select(export.encode_line().alias("value"))))
+    total = F.aggregate(F.flatten("call.genotype"), F.lit(0).cast("long"), lambda a, b: a + b)
+    n = F.size(F.filter("call", lambda c: F.size(c["genotype"]) > 0)).cast("long")
+    return rows.select(*SITE, F.array_join("alternate_bases", ",").alias("alts"), F.array_join("names", ";").alias("names"), F.array_join("filter", ";").alias("filter"), n.alias("n_calls"), total.alias("sum_genotype"))
+
+
+@query("SELECT sample_id, count(*) AS n FROM c GROUP BY 1")
+def a8_sample_counts(spark, sf_dir):
+    return variants(spark, sf_dir).select(F.explode("call.sample_id").alias("sample_id")).groupBy("sample_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT s_name AS sample_name, count(*) AS n FROM vc JOIN supplier ON s_suppkey = sample_id GROUP BY 1")
+def j1_sample_names(spark, sf_dir):
+    names = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("sample_id"), F.col("s_name").alias("sample_name"))
+    x = flatten.by_sample(variants(spark, sf_dir)).groupBy("sample_id").agg(F.count("*").alias("n"))
+    return x.join(names, "sample_id").select("sample_name", "n")
+
+
+@query("SELECT CASE WHEN g1 = 0 AND g2 = 0 THEN 'reference' ELSE 'variant' END AS kind, count(*) AS n FROM c GROUP BY 1")
+def p14_reference_calls(spark, sf_dir):
+    other = lambda c: F.exists(c["genotype"], lambda g: g != 0)
+    x = variants(spark, sf_dir).select(F.size(F.filter("call", other)).alias("v"), F.size("call").alias("n"))
+    s = x.agg(F.sum("v").alias("v"), F.sum(F.col("n") - F.col("v")).alias("r"))
+    return s.selectExpr("stack(2, 'variant', v, 'reference', r) AS (kind, n)")
+
+
+@query("SELECT CAST(quantile_disc(AC, 0.0) AS BIGINT) AS q0, CAST(max(AC) AS BIGINT) AS q10, count(*) AS n FROM va")
+def a12_quantiles(spark, sf_dir):
+    x = alternates(variants(spark, sf_dir))
+    q = F.percentile_approx("AC", [i / 10 for i in range(11)])
+    return x.agg(q.alias("q"), F.count("*").alias("n")).select(F.col("q")[0].alias("q0"), F.col("q")[10].alias("q10"), "n")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").count()
+    """Tables -> variants -> shards -> merged calls -> calls by shard."""
+    m = merge.move_to_calls(variants(spark, sf_dir))
+    return shard.route(m, SHARDS).groupBy("shard").agg(F.count("*").alias("variants"), F.sum(F.size("call")).alias("calls"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {k: f for k, (f, _) in _found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for k, (_, s) in _found.items() if s}
