@@ -100,10 +100,10 @@ def q8_burden(spark, sf_dir):
     return sums.join(genes, "reference_name")
 
 
-@query("SELECT k, alt, symbol, consequence FROM ve WHERE symbol = 'Brand#12' AND regexp_matches(consequence, 'STEEL|BRASS')")
+@query("SELECT k, alt, symbol, consequence FROM ve WHERE symbol = 'Brand#12' AND regexp_matches(consequence, 'SMALL|PROMO')")
 def q9_consequence(spark, sf_dir):
     x = variants(spark, sf_dir).select(F.col("NS").alias("k"), F.explode("alternate_bases").alias("a")).select("k", "a.alt", F.inline("a.vep"))
-    return x.where((F.col("SYMBOL") == "Brand#12") & F.col("Consequence").rlike("STEEL|BRASS")).select("k", "alt", F.col("SYMBOL").alias("symbol"), F.col("Consequence").alias("consequence"))
+    return x.where((F.col("SYMBOL") == "Brand#12") & F.col("Consequence").rlike("SMALL|PROMO")).select("k", "alt", F.col("SYMBOL").alias("symbol"), F.col("Consequence").alias("consequence"))
 
 
 @query("SELECT k, alt, round(AC / AN, 6) AS af FROM va WHERE AC / AN > 0.3")
@@ -149,10 +149,10 @@ def q16_high_impact(spark, sf_dir):
     return x.select("reference_name", "start_position", "reference_bases", "alt", F.col("Consequence").alias("consequence"))
 
 
-@query("SELECT k, alt, symbol FROM ve WHERE impact = 'HIGH' AND symbol IN (SELECT p_brand FROM part WHERE p_size = 7 AND p_retailprice > 1500)")
+@query("SELECT k, alt, symbol FROM ve WHERE impact = 'HIGH' AND symbol IN (SELECT p_brand FROM part WHERE p_size = 7 AND p_retailprice > 950)")
 def q17_pathway(spark, sf_dir):
     x = variants(spark, sf_dir).select(F.col("NS").alias("k"), F.explode("alternate_bases").alias("a")).select("k", "a.alt", F.inline("a.vep"))
-    genes = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_size = 7 AND p_retailprice > 1500").select(F.col("p_brand").alias("SYMBOL")).distinct()
+    genes = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_size = 7 AND p_retailprice > 950").select(F.col("p_brand").alias("SYMBOL")).distinct()
     return x.where("IMPACT = 'HIGH'").join(genes, "SYMBOL", "left_semi").select("k", "alt", F.col("SYMBOL").alias("symbol"))
 
 
