@@ -216,10 +216,12 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
             part = open_.withColumn("g", by.cast("long"))
         else:
             # What still joins different components: every pair of long lists; short ones are settled.
+            # A pair is made in the first list that both are in, not in each; a text has at most `prefix` lists.
             part = open_.where(F.col("m") > 2 * TOGETHER).withColumn("g", F.lit(0).cast("long"))
-        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}"), F.col("n").alias(f"n{k}")) for k in ("a", "b"))
+            part = part.join(part.groupBy("rid").agg(F.collect_set("key").alias("keys")), "rid")
+        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}"), F.col("n").alias(f"n{k}"), *([F.col("keys").alias(f"k{k}")] if r == ROUNDS else [])) for k in ("a", "b"))
         alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb)"  # sets of other sizes can't be similar enough
-        pairs = work.write(x.join(y, ["key", "g"]).where(f"a < b and la <> lb and {alike}").select("a", "b").distinct(), f"pairs{r}")
+        pairs = work.write(x.join(y, ["key", "g"]).where(f"a < b and la <> lb and {alike}" + " and array_min(array_intersect(ka, kb)) = key" * (r == ROUNDS)).select("a", "b").distinct(), f"pairs{r}")
         if not pairs.head(1):
             continue
         found = _links(work, str(r), pairs, rows, classes, texts, width, t, num, den)
