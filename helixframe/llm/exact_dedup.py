@@ -27,6 +27,8 @@ def text_digest(column: str = "text"):
 class DigestIndex:
     """A persistent index table; `add` appends what is new by a sort-merge anti-join on buckets."""
 
+    SCHEMA = "digest string, keep_id long, group_size long"
+
     def __init__(self, spark: SparkSession, name: str | None = None, path: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.name = name or f"digest_index_{uuid.uuid4().hex}"
@@ -63,7 +65,7 @@ def assign(docs: DataFrame) -> DataFrame:
     index = DigestIndex(spark, path=f"{work.path}/index")
     index.add(digests)
     # Read without its buckets here: both sides are then shuffled, and AQE can split a digest with a third of all rows.
-    held = spark.read.parquet(index.path)
+    held = spark.read.schema(index.SCHEMA).parquet(index.path)
     spark.sql(f"DROP TABLE IF EXISTS {index.name}")  # external: the files stay for this run
     out = digests.join(held.hint("merge"), "digest")
     return out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), F.col("digest").alias("text_sha256"))
@@ -77,7 +79,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     ranked = numbered.groupBy(F.col("__digest").alias("digest")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), "__row")).alias("first"))
     index = DigestIndex(spark, path=f"{work.path}/index")
     index.add(ranked.select("digest", F.col("first.__row").alias("doc_id")))
-    keep = spark.read.parquet(index.path).select(F.col("keep_id").alias("__row"))
+    keep = spark.read.schema(index.SCHEMA).parquet(index.path).select(F.col("keep_id").alias("__row"))
     spark.sql(f"DROP TABLE IF EXISTS {index.name}")
     return numbered.join(keep, "__row", "left_semi").drop("__row", "__digest")
 
