@@ -11,6 +11,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 M = (1 << 64) - 1
 #: Fixed constants of the published hash.
@@ -120,7 +121,7 @@ def sample_id(name: str, file_path: str | None = None) -> int:
     return stable_id([name if file_path is None else re.sub(r"\W", "_", file_path) + "_" + name])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def sample_ids(names: pd.Series) -> pd.Series:
     """For a column of distinct sample names."""
     return names.map(sample_id)
