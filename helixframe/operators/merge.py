@@ -16,14 +16,14 @@ def _union(column: str):
     return F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(column), F.array().cast("array<string>"))))))
 
 
-def move_to_calls(variants: DataFrame, info_to_calls: str | None = None, copy_quality: bool = False, copy_filter: bool = False) -> DataFrame:
+def move_to_calls(variants: DataFrame, info_to_calls: str | None = None, copy_quality: bool = False, copy_filter: bool = False, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """One row for each (reference, start, end, REF, ALTs): best quality, sorted union of names and filters, all calls.
 
     Info columns whose name matches `info_to_calls` (from the start) move into each call; quality and filter may be
     copied there. Of other info columns the greatest tuple of all of them stays, so the result is deterministic.
-    A group is one variant site, whose calls are the row the model asks for.
+    A group is one variant site, whose calls are the row the model asks for. extra_keys: more columns to group by.
     """
-    info = [c for c in variants.columns if c not in FIXED]
+    info = [c for c in variants.columns if c not in FIXED and c not in extra_keys]
     moved = [c for c in info if info_to_calls and re.match(info_to_calls, c)]
     own = [f.name for f in variants.schema["call"].dataType.elementType.fields]
     extra = moved + ["quality"] * copy_quality + ["filter"] * copy_filter
@@ -35,10 +35,10 @@ def move_to_calls(variants: DataFrame, info_to_calls: str | None = None, copy_qu
         df = df.withColumn("call", F.transform("call", lambda c: F.struct(*[c[f].alias(f) for f in own], *[F.col(e).alias(e) for e in extra])))
     alts = F.transform("alternate_bases", lambda a: a["alt"]) if isinstance(df.schema["alternate_bases"].dataType.elementType, T.StructType) else F.col("alternate_bases")
     kept = F.struct(F.to_json(F.struct(*[F.col(c) for c in ("alternate_bases", *rest)])).alias("order"), F.col("alternate_bases"), *[F.col(c) for c in rest])
-    out = df.withColumn("_alts", alts).withColumn("_kept", kept).groupBy(*KEY, "_alts").agg(
+    out = df.withColumn("_alts", alts).withColumn("_kept", kept).groupBy(*KEY, *extra_keys, "_alts").agg(
         F.max_by("_kept", F.col("_kept")["order"]).alias("_kept"), _union("names").alias("names"), F.max("quality").alias("quality"), _union("filter").alias("filter"), F.array_sort(F.flatten(F.collect_list("call"))).alias("call")
     )
-    return out.select(*KEY, F.col("_kept.alternate_bases").alias("alternate_bases"), "names", "quality", "filter", "call", *[F.col("_kept")[c].alias(c) for c in rest])
+    return out.select(*KEY, *extra_keys, F.col("_kept.alternate_bases").alias("alternate_bases"), "names", "quality", "filter", "call", *[F.col("_kept")[c].alias(c) for c in rest])
 
 
 def merge_schema(old: T.StructType, new: T.StructType) -> T.StructType:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.operators import export, flatten, merge, shard
+from helixframe.operators import annotate, bind, export, flatten, header, intervals, merge, shard
 from helixframe.plans.variants import CTE, variants
 from helixframe.sources import vcf
 
@@ -233,6 +233,101 @@ def a12_quantiles(spark, sf_dir):
     return x.agg(q.alias("q"), F.count("*").alias("n")).select(F.col("q")[0].alias("q0"), F.col("q")[10].alias("q10"), "n")
 
 
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that are done are non-variant intervals, the others are variants; the customer is the sample."""
+    o, k = spark.read.parquet(f"{sf_dir}/orders.parquet"), F.col("o_orderkey")
+    done, start = F.col("o_orderstatus") == "F", 37 * (k % 199)
+    call = F.struct(F.col("o_custkey").cast("long").alias("sample_id"), F.array(F.lit(0), F.when(done, 0).otherwise(1)).alias("genotype"), F.lit(None).cast("string").alias("phaseset"))
+    return o.select(
+        F.concat(F.lit("chr"), (1 + F.col("o_custkey") % 22).cast("string")).alias("reference_name"), start.cast("long").alias("start_position"),
+        (start + F.when(done, 5 + k % 40).otherwise(1 + k % 3)).cast("long").alias("end_position"), F.lit("A").alias("reference_bases"), F.when(done, F.array(F.lit("<*>"))).otherwise(F.array(F.lit("T"))).alias("alternate_bases"),
+        F.array(F.concat(F.lit("rs"), k.cast("string"))).alias("names"), F.col("o_totalprice").alias("quality"), F.array("o_orderstatus").alias("filter"), F.array(call).alias("call"),
+    )
+
+
+#: Positions one by one: what blocks cover, less what variants with a covered position span.
+BLOCKS = """
+, r AS (SELECT 'chr' || (1 + o_custkey % 22) AS ref, 37 * (o_orderkey % 199) AS s, o_orderstatus = 'F' AS done, 37 * (o_orderkey % 199) + CASE WHEN o_orderstatus = 'F' THEN 5 + o_orderkey % 40 ELSE 1 + o_orderkey % 3 END AS e FROM orders),
+w AS (SELECT ref, done, w, greatest(s, w * 500) AS s, least(e, (w + 1) * 500) AS e FROM (SELECT *, unnest(range(s // 500, (e - 1) // 500 + 1)) AS w FROM r)),
+cover AS (SELECT ref, p, count(*) AS n FROM (SELECT ref, unnest(range(s, e)) AS p FROM w WHERE done) GROUP BY ALL),
+site AS (SELECT ref, w, s, e, count(*) AS n FROM w WHERE NOT done GROUP BY ALL),
+hit AS (SELECT site.ref, s, e, any_value(site.n) AS own, min(p) AS p, arg_min(cover.n, p) AS more FROM site LEFT JOIN cover ON cover.ref = site.ref AND p >= s AND p < e GROUP BY ALL),
+taken AS (SELECT DISTINCT ref, unnest(range(s, e)) AS p FROM hit WHERE p IS NOT NULL)
+"""
+
+
+@query(BLOCKS + """SELECT ref AS reference_name, kind, count(*) AS n, CAST(sum(calls) AS BIGINT) AS calls FROM (SELECT ref, 'variant' AS kind, own + coalesce(more, 0) AS calls FROM hit
+  UNION ALL SELECT ref, 'covered position', n FROM cover WHERE NOT EXISTS (FROM taken t WHERE t.ref = cover.ref AND t.p = cover.p)) GROUP BY ALL""")
+def a5_reference_blocks(spark, sf_dir):
+    m = intervals.merge_with_blocks(_blocks(spark, sf_dir), 500)
+    non, length = intervals.is_non_variant(m), F.col("end_position") - F.col("start_position")
+    return m.groupBy("reference_name", F.when(non, "covered position").otherwise("variant").alias("kind")).agg(F.sum(F.when(non, length).otherwise(1)).alias("n"), F.sum(F.when(non, length).otherwise(1) * F.size("call")).alias("calls"))
+
+
+ANNOTATION = ["SYMBOL", "Consequence", "ALLELE_NUM"]
+
+
+def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as variants with one annotation text each."""
+    i, even = F.col("p_size") % 5 + 1, F.col("p_partkey") % 2 == 0
+    allele = F.element_at(F.array(*[F.lit(a) for a in ("-", "ATT", "DEL", "TG", "AT")]), i)
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").alias("k"), F.lit("CAT").alias("reference_bases"), F.when(even, F.array(F.lit("C"), F.lit("CATT"))).otherwise(F.array(F.lit("C"), F.lit("<DEL>"))).alias("alternate_bases"),
+        F.concat_ws("|", allele, "p_brand", "p_type", (F.col("p_size") % 4).cast("string")).alias("csq"),
+    )
+
+
+def _by_alternate(x: DataFrame) -> DataFrame:
+    return x.select("k", F.inline("alternate_bases")).select("k", "alt", F.inline("csq")).select("k", "alt", "allele", F.col("SYMBOL").alias("symbol"), F.col("Consequence").alias("consequence"))
+
+
+PARTS = ", p AS (SELECT p_partkey AS k, p_brand AS symbol, p_type AS consequence, p_size, ['-', 'ATT', 'DEL', 'TG', 'AT'][p_size % 5 + 1] AS allele, p_partkey % 2 = 0 AS even FROM part) "
+
+
+@query(PARTS + "SELECT k, CASE allele WHEN '-' THEN 'C' WHEN 'ATT' THEN 'CATT' ELSE '<DEL>' END AS alt, allele, symbol, consequence FROM p WHERE (even AND allele IN ('-', 'ATT')) OR (NOT even AND allele = 'DEL')")
+def v3_annotations(spark, sf_dir):
+    """A shared first base is left off the alternates only where all of them have it."""
+    return _by_alternate(annotate.attach(_annotated(spark, sf_dir), "csq", ANNOTATION))
+
+
+@query(PARTS + "SELECT k, CASE WHEN allele = 'DEL' THEN '<DEL>' ELSE 'C' END AS alt, allele, symbol, consequence FROM p WHERE allele = '-' OR (NOT even AND allele = 'DEL')")
+def v4_annotations_minimal(spark, sf_dir):
+    return _by_alternate(annotate.attach(_annotated(spark, sf_dir), "csq", ANNOTATION, "minimal"))
+
+
+@query(PARTS + "SELECT k, CASE WHEN p_size % 4 = 1 THEN 'C' WHEN even THEN 'CATT' ELSE '<DEL>' END AS alt, allele, symbol, consequence FROM p WHERE p_size % 4 IN (1, 2)")
+def v5_annotations_by_number(spark, sf_dir):
+    return _by_alternate(annotate.attach(_annotated(spark, sf_dir), "csq", ANNOTATION, "allele_num"))
+
+
+@query(PARTS + "SELECT count(*) AS variants, count(*) AS annotations, count_if(NOT coalesce((even AND allele IN ('-', 'ATT')) OR (NOT even AND allele = 'DEL'), false)) AS unmatched, CAST(0 AS BIGINT) AS ambiguous, CAST(0 AS BIGINT) AS wrong_width FROM p")
+def v8_annotation_counters(spark, sf_dir):
+    return annotate.problems(_annotated(spark, sf_dir), "csq", ANNOTATION)
+
+
+@query(PARTS + "SELECT k, allele || '|' || symbol || '|' || consequence || '|' || p_size % 4 AS csq FROM p WHERE (even AND allele IN ('-', 'ATT')) OR (NOT even AND allele = 'DEL')")
+def v7_annotation_text(spark, sf_dir):
+    x = annotate.attach(_annotated(spark, sf_dir), "csq", ANNOTATION)
+    return x.select("k", annotate.to_text("csq", ANNOTATION).alias("csq")).where("csq IS NOT NULL")
+
+
+BOUND = header.parse(
+    ['##INFO=<ID=NS,Number=1,Type=Integer,Description="n">', '##INFO=<ID=QT,Number=.,Type=Float,Description="q">', '##INFO=<ID=AC,Number=A,Type=Integer,Description="c">', '##INFO=<ID=DB,Number=0,Type=Flag,Description="d">', '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="g">']
+)
+
+
+@query("SELECT o_orderkey AS ns, o_orderkey % 2 = 0 AS db, CAST(o_custkey AS BIGINT) AS ac1, CAST(o_custkey + 1 AS BIGINT) AS ac2, CAST(2 AS BIGINT) AS n_qt, -31.0::DOUBLE AS missing, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 99 AS BIGINT) END AS gq FROM orders")
+def p6_typed_binding(spark, sf_dir):
+    """Lines with typed INFO and FORMAT fields through the parser and the binding."""
+    k = F.col("o_orderkey")
+    info = F.concat(F.lit("NS="), k.cast("string"), F.when(k % 2 == 0, ";DB").otherwise(""), F.lit(";QT=1.5,.;AC="), F.concat_ws(",", F.col("o_custkey").cast("string"), (F.col("o_custkey") + 1).cast("string")))
+    gq = F.when(k % 3 == 0, ".").otherwise((k % 99).cast("string"))
+    line = F.concat_ws("\t", F.lit("chr1"), k.cast("string"), F.lit("."), F.lit("A"), F.lit("C,T"), F.lit("."), F.lit("PASS"), info, F.lit("GT:GQ"), F.concat(F.lit("0/1:"), gq))
+    rows = vcf.well_formed(vcf.parse(spark.read.parquet(f"{sf_dir}/orders.parquet").select(line.alias("value"))))
+    x = bind.bind(rows, BOUND)
+    return x.select(F.col("NS").alias("ns"), F.col("DB").alias("db"), F.col("alternate_bases")[0]["AC"].alias("ac1"), F.col("alternate_bases")[1]["AC"].alias("ac2"), F.size("QT").cast("long").alias("n_qt"), F.col("QT")[1].alias("missing"), F.col("call")[0]["GQ"].alias("gq"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables -> variants -> shards -> merged calls -> calls by shard."""
     m = merge.move_to_calls(variants(spark, sf_dir))

@@ -63,6 +63,7 @@ def parse(lines: DataFrame, names: list[str] | None = None, one_based: bool = Fa
         return F.struct(F.coalesce(F.get(who, i), (i + 1).cast("string")).alias("name"), _genotype(gt).alias("genotype"), phase.alias("phaseset"), F.map_from_entries(both).alias("info"))
 
     ok = bad.isNull()
+    source = F.col("file_path") if "file_path" in lines.columns else F.lit(None).cast("string")
     columns = {
         "reference_name": f[0],
         "start_position": F.col("pos") if one_based else F.col("pos") - 1,
@@ -75,7 +76,7 @@ def parse(lines: DataFrame, names: list[str] | None = None, one_based: bool = Fa
         "info": F.map_filter("all_info", lambda k, v: k != "END"),
         "call": F.transform(samples, call).cast(CALLS),
     }
-    return x.select(*[F.when(ok, c).alias(k) for k, c in columns.items()], F.when(~ok, F.struct(F.lit(None).cast("string").alias("file"), F.col("value").alias("line"), bad.alias("reason"))).alias("error"))
+    return x.select(*[F.when(ok, c).alias(k) for k, c in columns.items()], F.when(~ok, F.struct(source.alias("file"), F.col("value").alias("line"), bad.alias("reason"))).alias("error"))
 
 
 def well_formed(rows: DataFrame, references: list[str] | None = None) -> DataFrame:
