@@ -300,7 +300,7 @@ def v5_annotations_by_number(spark, sf_dir):
     return _by_alternate(annotate.attach(_annotated(spark, sf_dir), "csq", ANNOTATION, "allele_num"))
 
 
-@query(PARTS + "SELECT count(*) AS variants, count(*) AS annotations, count_if(NOT coalesce((even AND allele IN ('-', 'ATT')) OR (NOT even AND allele = 'DEL'), false)) AS unmatched, CAST(0 AS BIGINT) AS ambiguous, CAST(0 AS BIGINT) AS wrong_width FROM p")
+@query(PARTS + "SELECT count(*) AS variants, count(*) AS annotations, CAST(count_if(NOT ((even AND allele IN ('-', 'ATT')) OR (NOT even AND allele = 'DEL'))) AS BIGINT) AS unmatched, CAST(0 AS BIGINT) AS ambiguous, CAST(0 AS BIGINT) AS wrong_width FROM p")
 def v8_annotation_counters(spark, sf_dir):
     return annotate.problems(_annotated(spark, sf_dir), "csq", ANNOTATION)
 
@@ -316,16 +316,16 @@ BOUND = header.parse(
 )
 
 
-@query("SELECT o_orderkey AS ns, o_orderkey % 2 = 0 AS db, CAST(o_custkey AS BIGINT) AS ac1, CAST(o_custkey + 1 AS BIGINT) AS ac2, CAST(2 AS BIGINT) AS n_qt, -31.0::DOUBLE AS missing, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 99 AS BIGINT) END AS gq FROM orders")
+@query("SELECT o_orderkey AS ns, o_orderkey % 2 = 0 AS db, CAST(o_custkey AS BIGINT) AS ac1, CAST(o_custkey + 1 AS BIGINT) AS ac2, CAST(2 AS BIGINT) AS n_qt, -31.0::DOUBLE AS missing, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE CAST(o_orderkey % 99 AS BIGINT) END AS gq FROM orders")
 def p6_typed_binding(spark, sf_dir):
     """Lines with typed INFO and FORMAT fields through the parser and the binding."""
     k = F.col("o_orderkey")
     info = F.concat(F.lit("NS="), k.cast("string"), F.when(k % 2 == 0, ";DB").otherwise(""), F.lit(";QT=1.5,.;AC="), F.concat_ws(",", F.col("o_custkey").cast("string"), (F.col("o_custkey") + 1).cast("string")))
     gq = F.when(k % 3 == 0, ".").otherwise((k % 99).cast("string"))
-    line = F.concat_ws("\t", F.lit("chr1"), k.cast("string"), F.lit("."), F.lit("A"), F.lit("C,T"), F.lit("."), F.lit("PASS"), info, F.lit("GT:GQ"), F.concat(F.lit("0/1:"), gq))
+    line = F.concat_ws("\t", F.lit("chr1"), (k + 1).cast("string"), F.lit("."), F.lit("A"), F.lit("C,T"), F.lit("."), F.lit("PASS"), info, F.lit("GT:GQ"), F.concat(F.lit("0/1:"), gq))
     rows = vcf.well_formed(vcf.parse(spark.read.parquet(f"{sf_dir}/orders.parquet").select(line.alias("value"))))
     x = bind.bind(rows, BOUND)
-    return x.select(F.col("NS").alias("ns"), F.col("DB").alias("db"), F.col("alternate_bases")[0]["AC"].alias("ac1"), F.col("alternate_bases")[1]["AC"].alias("ac2"), F.size("QT").cast("long").alias("n_qt"), F.col("QT")[1].alias("missing"), F.col("call")[0]["GQ"].alias("gq"))
+    return x.select(F.col("NS").alias("ns"), F.col("DB").alias("db"), F.col("alternate_bases")[0]["AC"].alias("ac1"), F.col("alternate_bases")[1]["AC"].alias("ac2"), F.size("QT").cast("long").alias("n_qt"), F.col("QT")[1].alias("missing"), F.coalesce(F.col("call")[0]["GQ"], F.lit(-1)).alias("gq"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
