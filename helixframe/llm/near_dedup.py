@@ -7,8 +7,11 @@
    share one of the first K - T + 1 pairs of any order that all texts use, so only that prefix is posted. The order
    is by how common a pair is, counted in a sketch of fixed size: what many texts share is skipped.
 4. A posting list is cut at random into groups of about TOGETHER, whose pairs are tried; ROUNDS times, each on the lists
-   that still hold different components. Then every pair of what is left in different components is made. So a list of
-   near copies is hardly ever expanded into all its pairs, and no link between two components is lost.
+   that still hold different components. What is left is joined by its differences from a hub, one member of the list:
+   the hub's own links are exact, and two texts not both linked to it can only be linked if they share some of the
+   shingles in which they differ from it. Those are posted, rarest first, as many as the wanted overlap asks for, and
+   a pair is made only where the rest can still reach that overlap. So a list of near copies is hardly ever expanded
+   into all its pairs, and no link between two components is lost.
 5. Collisions are counted on byte-wide signatures (never fewer than the true count); pairs at or above T are
    confirmed on the full shingle sets.
 
@@ -91,7 +94,15 @@ def _profiles(width: int, coordinates: int, batches: Iterable[pa.RecordBatch]) -
             )
 
 
-def _common(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coordinate_keys(batch: pa.RecordBatch) -> np.ndarray:
+    return pair_keys(np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)).ravel()
+
+
+def _difference_keys(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("delta").to_pylist()), U)
+
+
+def _counted(keys_of, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each slot of the sketch is used in this task, as blocks of counters."""
     total, waiting = np.zeros(SKETCH, np.uint32), []
 
@@ -101,8 +112,7 @@ def _common(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting.clear()
 
     for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        waiting.append(sketch_slot(pair_keys(sig)).ravel())
+        waiting.append(sketch_slot(keys_of(batch)))
         if sum(map(len, waiting)) > SKETCH:
             add()
     add()
@@ -118,6 +128,14 @@ def _add_up(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": part["block"].iloc[:1], "counts": [total.tobytes()]})
 
 
+def _sketch(df: DataFrame, keys_of) -> bytes:
+    counts = arrow_map(df, _counted, "block long, counts binary", keys_of).groupBy("block").applyInPandas(_add_up, "block long, counts binary")
+    sketch = np.zeros((SKETCH // BLOCK, BLOCK), np.uint32)
+    for r in counts.toLocalIterator():  # the sketch's size is fixed
+        sketch[r.block] = np.frombuffer(r.counts, np.uint32)
+    return sketch.tobytes()
+
+
 def _post(sketch, prefix: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.frombuffer(sketch.value, np.uint32)
     for batch in batches:
@@ -163,10 +181,81 @@ def _sets(width: int, keep, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Re
             yield pa.RecordBatch.from_pydict({"digest": pa.array([digests[i] for i in at], pa.binary()), "sh": pa.array([sets[i] for i in at], pa.binary())})
 
 
-def _links(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFrame, width: int, least: int, num: int, den: int) -> DataFrame:
+def _differences(num: int, den: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's shingles that only it or only its hub has, as keys of that hub; `linked`: to the hub itself."""
+    for batch in batches:
+        delta, linked = [], []
+        hubs = mix(batch.column("hub").to_numpy(zero_copy_only=False).astype(U))
+        for x, y, h in zip(batch.column("sh").to_pylist(), batch.column("hs").to_pylist(), hubs, strict=True):
+            z = np.concatenate((np.frombuffer(x, U), np.frombuffer(y, U)))
+            z.sort(kind="stable")
+            same = np.zeros(len(z) + 1, bool)
+            same[1:-1] = z[1:] == z[:-1]
+            only = z[~(same[1:] | same[:-1])]
+            linked.append(len(only) * (den + num) <= len(z) * (den - num))
+            delta.append(mix(only ^ h).tobytes())
+        kept = {c: batch.column(c) for c in ("rid", "hub", "label", "n", "hn")}
+        yield pa.RecordBatch.from_pydict(kept | {"linked": pa.array(linked, pa.bool_()), "delta": pa.array(delta, pa.binary())})
+
+
+def _post_differences(sketch, num: int, den: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rarest differences of a text, as many as a partner must share one of.
+
+    Of a pair, the text with fewer differences (`small`) posts less. d: differences; x: those between both texts, at
+    most far = n * (den - num) / num; shared ones are (d + d' - x) / 2, where d' >= d for the small and d' >= d - x
+    for the other. A text linked to the hub needs a partner that isn't, so d' > c * (n' + hub's n) for c =
+    (den - num) / (den + num). At least one is shared if not both are linked to the hub.
+    """
+    counts = np.frombuffer(sketch.value, np.uint32)
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("rid", "label", "n", "hn", "linked", "delta")]
+        out: dict[str, list[np.ndarray]] = {c: [] for c in ("key", "rid", "label", "n", "d", "at", "linked", "small")}
+        for rid, label, n, hn, linked, delta in zip(*columns, strict=True):
+            keys = np.frombuffer(delta, U)
+            d, far = len(keys), n * (den - num) // num
+            least = max(1, (d * (den + num) + (den - num) * (hn - n)) // (2 * (den + num)) + 1) if linked else 1
+            small = d - max(least, -(-(2 * d - far) // 2)) + 1
+            take = max(small, d - max(least, d - far) + 1, 0)
+            rare = (counts[sketch_slot(keys)].astype(U) << U(24)) | (keys >> U(40))
+            keys = keys[np.lexsort((keys, rare))[:take]]
+            k = len(keys)
+            out["key"].append(keys.view(np.int64))
+            out["at"].append(np.arange(k))
+            out["small"].append(np.arange(k) < small)
+            for c, v in (("rid", rid), ("label", label), ("n", n), ("d", d), ("linked", linked)):
+                out[c].append(np.full(k, v))
+        yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate(v) if v else []).cast(pa.bool_() if c in ("linked", "small") else pa.int64()) for c, v in out.items()})
+
+
+def _by_hubs(work: Workspace, part: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Links of texts to the hubs of their lists, and the pairs of a list that may be linked besides."""
+    spark = work.spark
+    hubs = part.groupBy("key").agg(F.min(F.struct(F.xxhash64("rid").alias("h"), F.col("rid").alias("hub"), F.col("n").alias("hn"))).alias("s")).select("key", "s.hub", "s.hn")
+    near = part.join(hubs, "key").where("rid <> hub").select("rid", "hub", "label", "n", "hn").distinct()
+    near = near.join(sets, "rid").join(sets.select(F.col("rid").alias("hub"), F.col("sh").alias("hs")), "hub")
+    deltas = work.write(arrow_map(near, _differences, "rid long, hub long, label long, n long, hn long, linked boolean, delta binary", num, den), "deltas")
+    sketch = spark.sparkContext.broadcast(_sketch(deltas.select("delta"), _difference_keys))
+    posted = work.write(arrow_map(deltas, _post_differences, "key long, rid long, label long, n long, d long, at long, linked boolean, small boolean", sketch, num, den), "differences")
+    x, y = (posted.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("rid", "label", "n", "d", "at", "linked", "small")]) for k in ("a", "b"))
+    order = "(da < db OR (da = db AND rida < ridb)) AND labela <> labelb AND NOT (linkeda AND linkedb)"
+    alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb) AND (db - da) * {den + num} <= {den - num} * (na + nb)"
+    reach = f"2 * least(da - ata, db - atb) * {den + num} >= (da + db) * {den + num} - {den - num} * (na + nb)"
+    pairs = x.where("smalla").join(y, "key").where(f"{order} AND {alike} AND {reach}")
+    return deltas.where("linked").select(F.greatest("rid", "hub").alias("b"), F.least("rid", "hub").alias("a")).select("a", "b"), pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct()
+
+
+def _sets_of(work: Workspace, name: str, rids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(rid, sh): full sets of these representatives, made anew from the texts; only those are shuffled."""
+    flagged = work.write(classes.join(rids, "rid", "left_semi").select("digest", "rid"), f"flagged{name}")
+    keep = work.spark.sparkContext.broadcast(digest_slots(flagged, "digest").tobytes())
+    sets = arrow_map(docs, _sets, "digest binary, sh binary", width, keep)
+    return work.write(sets.join(flagged, "digest").dropDuplicates(["digest"]).select("rid", "sh"), f"sets{name}")
+
+
+def _links(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFrame, width: int, least: int, num: int, den: int, sets: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of representatives that pass the collision count, then the exact similarity.
 
-    Full sets are made anew for the texts in pairs that pass the count, and only those are shuffled.
+    Without `sets`, full sets are made anew for the texts in pairs that pass the count.
     """
 
     def beside(p: DataFrame, right: DataFrame, col: str, names: tuple[str, str]) -> DataFrame:
@@ -175,14 +264,9 @@ def _links(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, classe
         return p
 
     near = work.write(arrow_map(beside(pairs, rows, "short", ("sa", "sb")), _colliding, "a long, b long", least), f"near{name}")
-    flagged = classes.join(near.select(F.col("a").alias("rid")).union(near.select("b")).distinct(), "rid", "left_semi").select("digest", "rid")
-    flagged = work.write(flagged, f"flagged{name}")
-    keep = work.spark.sparkContext.broadcast(digest_slots(flagged, "digest").tobytes())
-    sets = arrow_map(docs, _sets, "digest binary, sh binary", width, keep)
-    sets = work.write(sets.join(flagged, "digest").dropDuplicates(["digest"]).select("rid", "sh"), f"sets{name}")
-    links = work.write(arrow_map(beside(near, sets, "sh", ("ha", "hb")), _confirm, "a long, b long", num, den), f"links{name}")
-    work.drop(f"sets{name}")
-    return links
+    if sets is None:
+        sets = _sets_of(work, name, near.select(F.col("a").alias("rid")).union(near.select("b")).distinct(), classes, docs, width)
+    return work.write(arrow_map(beside(near, sets, "sh", ("ha", "hb")), _confirm, "a long, b long", num, den), f"links{name}")
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5, coordinates: int = COORDINATES) -> tuple[DataFrame, Workspace]:
@@ -198,39 +282,39 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     rows = work.write(profiles.withColumn("rid", F.monotonically_increasing_id()), "rows")
     # One row for each distinct set: its smallest row number stands for it.
     classes = work.write(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least")), "classes")
-    counts = arrow_map(rows.where("n > 0").select("sig"), _common, "block long, counts binary").groupBy("block").applyInPandas(_add_up, "block long, counts binary")
-    sketch = np.zeros((SKETCH // BLOCK, BLOCK), np.uint32)
-    for r in counts.toLocalIterator():  # the sketch's size is fixed
-        sketch[r.block] = np.frombuffer(r.counts, np.uint32)
-    sketch = spark.sparkContext.broadcast(sketch.tobytes())
+    sketch = spark.sparkContext.broadcast(_sketch(rows.where("n > 0").select("sig"), _coordinate_keys))
     posted = arrow_map(rows.select("rid", "n", "sig").join(classes.select("rid"), "rid", "left_semi"), _post, "key long, rid long, n long", sketch, prefix)
     posted = work.write(posted, "posted").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")  # once, for both uses
     lists = posted.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     open_ = work.write(posted.join(lists, "key").withColumn("label", F.col("rid")), "shared")
     work.drop("posted")
     texts, links, labels = docs.select("text"), None, None
-    for r in range(ROUNDS + 1):
-        if r < ROUNDS:
-            # Small groups of each list, other ones each round; a short list is one group.
-            by = F.when(F.col("m") <= 2 * TOGETHER, F.lit(0)).otherwise(F.pmod(F.xxhash64("rid", "key", F.lit(r)), F.ceil(F.col("m") / TOGETHER)))
-            part = open_.withColumn("g", by.cast("long"))
-        else:
-            # What still joins different components: every pair of long lists; short ones are settled.
-            # A pair is made in the first list that both are in, not in each; a text has at most `prefix` lists.
-            part = open_.where(F.col("m") > 2 * TOGETHER).withColumn("g", F.lit(0).cast("long"))
-            part = part.join(part.groupBy("rid").agg(F.collect_set("key").alias("keys")), "rid")
-        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}"), F.col("n").alias(f"n{k}"), *([F.col("keys").alias(f"k{k}")] if r == ROUNDS else [])) for k in ("a", "b"))
+    for r in range(ROUNDS):
+        # Small groups of each list, other ones each round; a short list is one group.
+        by = F.when(F.col("m") <= 2 * TOGETHER, F.lit(0)).otherwise(F.pmod(F.xxhash64("rid", "key", F.lit(r)), F.ceil(F.col("m") / TOGETHER)))
+        part = open_.withColumn("g", by.cast("long"))
+        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}"), F.col("n").alias(f"n{k}")) for k in ("a", "b"))
         alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb)"  # sets of other sizes can't be similar enough
-        pairs = work.write(x.join(y, ["key", "g"]).where(f"a < b and la <> lb and {alike}" + " and array_min(array_intersect(ka, kb)) = key" * (r == ROUNDS)).select("a", "b").distinct(), f"pairs{r}")
+        pairs = work.write(x.join(y, ["key", "g"]).where(f"a < b and la <> lb and {alike}").select("a", "b").distinct(), f"pairs{r}")
         if not pairs.head(1):
             continue
         found = _links(work, str(r), pairs, rows, classes, texts, width, t, num, den)
+        work.drop(f"sets{r}")
         links = found if links is None else links.union(found)
         labels = connected_components(work, links, f"cc{r}_")
-        if r < ROUNDS:
-            open_ = open_.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-            split = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-            open_ = work.write(open_.join(split, "key", "left_semi"), f"open{r}")
+        open_ = open_.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+        split = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+        open_ = work.write(open_.join(split, "key", "left_semi"), f"open{r}")
+    part = open_.where(F.col("m") > 2 * TOGETHER)  # short lists are settled
+    if part.head(1):
+        sets = _sets_of(work, "h", part.select("rid").distinct(), classes, texts, width)
+        found, pairs = _by_hubs(work, part, sets, num, den)
+        pairs = work.write(pairs, "pairsh")
+        links = found if links is None else links.union(found)
+        links = links.union(_links(work, "h", pairs, rows, classes, texts, width, t, num, den, sets))
+        labels = connected_components(work, links, "cch_")
+        for name in ("setsh", "deltas", "differences"):
+            work.drop(name)
     if labels is None:
         labels = spark.createDataFrame([], "node long, label long")
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "least", F.coalesce("label", "rid").alias("component"))

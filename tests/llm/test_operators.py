@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import duckdb
@@ -179,3 +180,35 @@ def test_nearest(spark):
         want = np.lexsort((np.arange(300), -np.round(s, 10)))[:20]
         assert part.vec_id.tolist() == want.tolist() and part["rank"].tolist() == list(range(1, 21))
     assert nearest.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+@pytest.mark.parametrize(("num", "seed"), [(85, 1), (80, 2)])
+def test_large_group_around_the_threshold_equals_brute_force(spark, monkeypatch, num, seed):
+    """All lists go to the hub step: no random rounds, no short lists."""
+    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
+    monkeypatch.setattr(near_dedup, "TOGETHER", 1)
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(160):
+        words = list(base if r.random() < 0.7 or not texts else texts[r.randrange(len(texts))].split())
+        for _ in range(r.choice((0, 1, 1, 2, 3, 4))):
+            at = r.randrange(len(words))
+            words[at : at + r.choice((0, 1, 1))] = [f"w{r.randrange(400)}"]
+        texts.append(" ".join(words[r.choice((0, 0, 3)) :]))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                least[b] = a
+    got = near_dedup.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), num=num).collect()
+    assert {x.doc_id: x.component_id for x in got} == {i: root(i) for i in range(len(texts))}
+    assert len({root(i) for i in range(len(texts))}) > 5
