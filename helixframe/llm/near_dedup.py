@@ -7,8 +7,8 @@
    share one of the first K - T + 1 pairs of any order that all texts use, so only that prefix is posted. The order
    is by how common a pair is, counted in a sketch of fixed size: what many texts share is skipped.
 4. A posting list is cut at random into groups of about TOGETHER, whose pairs are tried; ROUNDS times, each on the lists
-   that still hold different components (a second round or larger groups found next to no further link, at up to twice
-   the pairs). What is left is joined by its differences from a hub, one member of the list:
+   that still hold different components (of the settings measured, one round of small groups makes the fewest pairs;
+   the components don't depend on it). What is left is joined by its differences from a hub, one member of the list:
    the hub's own links are exact, and two texts not both linked to it can only be linked if they share some of the
    shingles in which they differ from it. Those are posted, rarest first, as many as the wanted overlap asks for, and
    a pair is made only where the rest can still reach that overlap. So a list of near copies is hardly ever expanded
