@@ -93,8 +93,22 @@ def problems(variants: DataFrame, column: str, names: list[str], mode: str = "de
     )
 
 
-def to_text(column: str, names: list[str]) -> Column:
-    """The inverse of attach for export: all annotations of all alternates, nulls as empty fields; null if there is none."""
-    line = lambda e: F.array_join(F.transform(F.array(e["allele"], *[e[n] for n in names]), lambda v: F.coalesce(v, F.lit(""))), "|")
-    every = F.flatten(F.transform("alternate_bases", lambda a: F.transform(F.coalesce(a[column], F.array()), line)))
+def _allele(ref: Column, alts: Column, alt: Column) -> Column:
+    """The allele that the default mode matches to this alternate."""
+    shared, ident = F.length(_common_prefix(ref, alts)), F.regexp_extract(alt, "^<(.*)>$", 1)
+    return F.when(ident != "", ident).when(F.length(alt) == shared, DELETED).otherwise(F.substr(alt, shared + 1))
+
+
+def to_text(column: str, names: list[str], alleles: bool = True) -> Column:
+    """The inverse of attach for export: all annotations of all alternates, nulls as empty fields; null if there is none.
+
+    alleles: whether the annotations hold their allele; without it, it is made from the alternate.
+    """
+    alts = F.transform("alternate_bases", lambda a: a["alt"])
+
+    def line(a: Column, e: Column) -> Column:
+        allele = e["allele"] if alleles else _allele(F.col("reference_bases"), alts, a["alt"])
+        return F.array_join(F.transform(F.array(allele, *[e[n].cast("string") for n in names]), lambda v: F.coalesce(v, F.lit(""))), "|")
+
+    every = F.flatten(F.transform("alternate_bases", lambda a: F.transform(F.coalesce(a[column], F.array()), lambda e: line(a, e))))
     return F.nullif(F.array_join(every, ","), F.lit(""))

@@ -4,6 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helixframe.operators import annotate
+
+#: Columns and fields of a call that have their own place in a line; all others are INFO and FORMAT.
+FIXED = ("reference_name", "start_position", "end_position", "reference_bases", "alternate_bases", "names", "quality", "filter", "call")
+CALL = ("sample_id", "name", "genotype", "phaseset")
 
 
 def densify(variants: DataFrame, sample_ids: list[int]) -> DataFrame:
@@ -25,20 +32,91 @@ def _or_dot(x: Column) -> Column:
     return F.when(x.isNull() | (x == ""), ".").otherwise(x)
 
 
-def encode_line(one_based: bool = False) -> Column:
-    """The data line of a row with the fixed columns and calls of genotype and phaseset."""
+def _listed(values: Column) -> Column:
+    return F.array_join(F.transform(values, lambda v: _or_dot(v.cast("string"))), ",")
+
+
+def _value(x: Column, kind: T.DataType) -> Column:
+    """The text of a value; null where there is none, as for an empty list."""
+    if isinstance(kind, T.ArrayType):
+        return F.when(F.size(x) > 0, _listed(x))
+    return F.when(x.isNotNull(), _or_dot(x.cast("string")))
+
+
+def _values(xs: Column, kind: T.DataType) -> Column:
+    return F.transform(xs, lambda x: _value(x, kind))
+
+
+def _nested(kind: T.DataType) -> bool:
+    inner = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    return isinstance(inner, (T.StructType, T.MapType, T.ArrayType))
+
+
+def encode_info(variants: DataFrame) -> list[Column]:
+    """key=value of each other column, then of each field of the alternates; null where a row has none.
+
+    A true flag is its key alone and a false one is left out. Where only some alternates have a value the others get a
+    dot: without it a reader would give the values to the wrong alternates. Lists of structs are annotations.
+    """
+    out = []
+    for f in variants.schema.fields:
+        if f.name in FIXED:
+            continue
+        if _nested(f.dataType):
+            raise ValueError(f"no VCF form for column {f.name}: {f.dataType.simpleString()}")
+        if isinstance(f.dataType, T.BooleanType):
+            out.append(F.when(F.col(f.name), f.name))
+        else:
+            out.append(F.concat(F.lit(f"{f.name}="), _value(F.col(f.name), f.dataType)))
+    for f in variants.schema["alternate_bases"].dataType.elementType.fields:
+        if f.name == "alt":
+            continue
+        inner = getattr(f.dataType, "elementType", None)
+        if isinstance(inner, T.StructType):
+            every = annotate.to_text(f.name, [n for n in inner.fieldNames() if n != "allele"], "allele" in inner.fieldNames())
+        elif _nested(f.dataType):
+            raise ValueError(f"no VCF form for field {f.name} of alternate_bases: {f.dataType.simpleString()}")
+        else:
+            values = _values(F.col("alternate_bases")[f.name], f.dataType)
+            every = F.when(F.exists(values, lambda v: v.isNotNull()), _listed(values))
+        out.append(F.concat(F.lit(f"{f.name}="), every))
+    return out
+
+
+def encode_line(variants: DataFrame, one_based: bool = False) -> Column:
+    """The data line of a row of `variants`: the fixed columns, all of INFO, and the calls with all fields that any of them has."""
     start = F.col("start_position")
     pos = start if one_based else start + 1
     end = F.when(pos - 1 + F.length("reference_bases") != F.col("end_position"), F.concat(F.lit("END="), F.col("end_position").cast("string")))
+    kinds = {f.name: f.dataType for f in variants.schema["call"].dataType.elementType.fields if f.name not in CALL}
+    for name, kind in kinds.items():
+        if _nested(kind):
+            raise ValueError(f"no VCF form for field {name} of call: {kind.simpleString()}")
+
+    def field(c: Column, key: str) -> Column:
+        if key == "PS":
+            return F.nullif(F.nullif(c["phaseset"], F.lit("*")), F.lit(""))
+        return _value(c[key], kinds[key])
+
+    def used(key: str) -> Column:
+        return F.exists("call", lambda c: field(c, key).isNotNull())
+
+    # Which of the sorted keys a row has depends on its calls.
+    keys = [(k, used(k)) for k in sorted({"PS", *kinds})]
 
     def call(c: Column) -> Column:
-        sep = F.when(c["phaseset"].isNotNull(), "|").otherwise("/")
         alleles = F.transform(c["genotype"], lambda g: F.when(g == -1, ".").otherwise(g.cast("string")))
-        return F.when(F.size(alleles) > 0, F.when(sep == "|", F.array_join(alleles, "|")).otherwise(F.array_join(alleles, "/"))).otherwise(".")
+        phased = F.coalesce(c["phaseset"], F.lit("")) != ""
+        gt = F.when(F.size(alleles) > 0, F.when(phased, F.array_join(alleles, "|")).otherwise(F.array_join(alleles, "/"))).otherwise(".")
+        return F.concat_ws(":", gt, *[F.when(has, _or_dot(field(c, k))) for k, has in keys])
 
     alts = F.array_join(F.transform("alternate_bases", lambda a: a["alt"]), ",")
-    fixed = [F.col("reference_name"), pos.cast("string"), F.array_join("names", ";"), F.col("reference_bases"), alts, F.col("quality").cast("string"), F.array_join("filter", ";"), end]
-    return F.concat_ws("\t", *[_or_dot(x) for x in fixed], F.lit("GT"), F.array_join(F.transform("call", call), "\t"))
+    info = F.concat_ws(";", end, *encode_info(variants))
+    fixed = [F.col("reference_name"), pos.cast("string"), F.array_join("names", ";"), F.col("reference_bases"), alts, F.col("quality").cast("string"), F.array_join("filter", ";"), info]
+    called = F.size("call") > 0
+    form = F.when(called, F.concat_ws(":", F.lit("GT"), *[F.when(has, k) for k, has in keys]))
+    # Without calls the line ends with FORMAT: concat_ws leaves out the null.
+    return F.concat_ws("\t", *[_or_dot(x) for x in [*fixed, form]], F.when(called, F.array_join(F.transform("call", call), "\t")))
 
 
 def write_vcf(variants: DataFrame, path: str, header: list[str], names: list[str], one_based: bool = False) -> None:
@@ -47,4 +125,4 @@ def write_vcf(variants: DataFrame, path: str, header: list[str], names: list[str
     columns = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])
     spark.createDataFrame([("\n".join([*header, columns]),)], "value string").write.text(f"{path}/header")
     ordered = variants.repartitionByRange("reference_name", "start_position").sortWithinPartitions("reference_name", "start_position", "end_position", "reference_bases")
-    ordered.select(encode_line(one_based).alias("value")).write.text(f"{path}/data")
+    ordered.select(encode_line(ordered, one_based).alias("value")).write.text(f"{path}/data")

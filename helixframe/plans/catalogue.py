@@ -168,7 +168,8 @@ def q18_sample_lookup(spark, sf_dir):
   WHERE (reference_name = 'chr1' AND start_position >= 0 AND end_position <= 1000) OR reference_name = 'chr2'""")
 def q19_export(spark, sf_dir):
     """Export lines of regions and two samples, read apart again."""
-    x = export.densify(variants(spark, sf_dir).where(shard.region_filter(REGIONS)), [1, 2]).select(F.split(export.encode_line(), "\t").alias("f"))
+    x = export.densify(variants(spark, sf_dir).where(shard.region_filter(REGIONS)), [1, 2])
+    x = x.select(F.split(export.encode_line(x), "\t").alias("f"))
     call = lambda i: F.when(F.col("f")[i] == ".", "./.").otherwise(F.col("f")[i])
     return x.select(F.array_join(F.slice("f", 1, 5), "\t").alias("line"), call(9).alias("call1"), call(10).alias("call2"))
 
@@ -200,12 +201,30 @@ def j3_shards(spark, sf_dir):
 @query("SELECT reference_name, start_position, end_position, reference_bases, coalesce(alts, '') AS alts, 'rs' || v.k AS names, filter, CAST(coalesce(n, 0) AS BIGINT) AS n_calls, CAST(coalesce(g, 0) AS BIGINT) AS sum_genotype FROM v LEFT JOIN al USING (k) LEFT JOIN (SELECT k, count(*) AS n, sum(g1 + g2) AS g FROM c GROUP BY k) USING (k)")
 def s8_parse_round_trip(spark, sf_dir):
     """Rows to VCF lines and back through the parser."""
-    rows = vcf.well_formed(vcf.parse(variants(spark, sf_dir).select(export.encode_line().alias("value"))))
+    v = variants(spark, sf_dir)
+    rows = vcf.well_formed(vcf.parse(v.select(export.encode_line(v).alias("value"))))
     total = F.aggregate(F.flatten("call.genotype"), F.lit(0).cast("long"), lambda a, b: a + b)
     n = F.size(F.filter("call", lambda c: F.size(c["genotype"]) > 0)).cast("long")
     return rows.select(*SITE, F.array_join("alternate_bases", ",").alias("alts"), F.array_join("names", ";").alias("names"), F.array_join("filter", ";").alias("filter"), n.alias("n_calls"), total.alias("sum_genotype"))
 
 
+@query("""SELECT k, quality, coalesce(i.n, 0) AS n_alt, AC, AN, AC_male, AC_female, vep, coalesce(calls, '') AS calls FROM v
+  LEFT JOIN (SELECT k, count(*) AS n, string_agg(AC, ',' ORDER BY alt) AS AC, string_agg(AN, ',' ORDER BY alt) AS AN, string_agg(AC_male, ',' ORDER BY alt) AS AC_male, string_agg(AC_female, ',' ORDER BY alt) AS AC_female FROM a GROUP BY k) i USING (k)
+  LEFT JOIN (SELECT k, string_agg(CASE WHEN alts = reference_bases THEN '-' ELSE alt END || '|' || symbol || '|' || consequence || '|' || impact, ',' ORDER BY alt, symbol, consequence, impact) AS vep FROM ve JOIN al USING (k) GROUP BY k) t USING (k)
+  LEFT JOIN (SELECT k, string_agg(g1 || '/' || g2 || ' ' || CASE sample_id % 2 WHEN 0 THEN 'p' || sample_id ELSE '.' END || ' ' || CASE sample_id % 3 WHEN 0 THEN '.' ELSE CAST(sample_id % 100 AS VARCHAR) END, ',' ORDER BY sample_id) AS calls FROM c GROUP BY k) u USING (k)""")
+def k9_export_values(spark, sf_dir):
+    """The INFO and FORMAT values of export lines, calls with phase sets and a further field, read apart again."""
+    i = lambda c: c["sample_id"]
+    more = F.transform("call", lambda c: c.withField("phaseset", F.when(i(c) % 2 == 0, F.concat(F.lit("p"), i(c).cast("string")))).withField("GQ", F.when(i(c) % 3 != 0, i(c) % 100)))
+    v = variants(spark, sf_dir).withColumn("call", more)
+    rows = vcf.well_formed(vcf.parse(v.select(export.encode_line(v).alias("value"))))
+    dot = lambda x: F.coalesce(x, F.lit("."))
+    calls = F.transform("call", lambda c: F.concat_ws(" ", F.array_join(c["genotype"], "/"), dot(c["phaseset"]), dot(F.try_element_at(c["info"], F.lit("GQ")))))
+    info = {k: F.try_element_at("info", F.lit(k)) for k in ("AC", "AN", "AC_male", "AC_female", "vep")}
+    n = F.size("alternate_bases").cast("long").alias("n_alt")
+    return rows.select(F.col("info")["NS"].cast("long").alias("k"), "quality", n, *[x.alias(k) for k, x in info.items()], F.array_join(calls, ",").alias("calls"))
+
+
 @query("SELECT sample_id, count(*) AS n FROM c GROUP BY 1")
 def a8_sample_counts(spark, sf_dir):
     return variants(spark, sf_dir).select(F.explode("call.sample_id").alias("sample_id")).groupBy("sample_id").agg(F.count("*").alias("n"))
