@@ -1,11 +1,15 @@
 """Personal data: base patterns, then bootstrapped contextual extraction.
 
-Base spans (email, ip, card, phone; leftmost, not overlapping within a kind) are seed entities. Each seed, and each other
-token that looks like an identifier (LEAST_DIGITS digits or more, or an at sign), is an instance with the lexical patterns around it:
-the two words before, and the word before with the word after. Spark scores the graph of patterns and instances in ROUNDS
-rounds: a pattern's score for a kind is the smoothed share of that kind among its instances, an instance's score
-1 - product(1 - score) over its supported patterns. A token that no base pattern knows is added as a kind where its own
-pattern is confident and its instance score high. Base spans always stay.
+Base spans (email, ip, card, phone; leftmost, not overlapping within a kind) are seed entities. The patterns are the lexical
+contexts of a span: the two words before, and the word before with the word after (or the text's end). Candidates come from the
+slots that the seeds' patterns open, in a second pass: all that lies between a pattern's two words, of any shape and of several
+tokens, and after two words the run of tokens with a digit or an at sign; besides, each other token of LEAST_DIGITS digits or
+more, or with an at sign. A pattern opens slots with SUPPORT distinct seeds of one kind, where seeds fill at least one
+of OPEN of its places. Spark scores the graph of patterns and instances in ROUNDS rounds: a pattern's score for a kind is the
+smoothed share of that kind among its instances, an instance's score 1 - product(1 - score) over its supported patterns. A
+candidate is added as a kind where its own pattern is confident and its score high. One without a digit or an at sign counts
+against its pattern, lends it nothing, and is added where the pattern on both sides of it is confident all the same. Base
+spans always stay; what is added never touches one.
 
 Null texts count as empty. Offsets are code points, the end exclusive. Each pattern reads a text in linear time, so very
 long texts and runs are safe. Rows that repeat or lack an id are rows of their own; extra columns play no part.
@@ -14,9 +18,13 @@ long texts and runs are safe. Rows that repeat or lack an id are rows of their o
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +36,12 @@ ROUNDS = 3
 LEAST_DIGITS = 6
 SUPPORT = 4
 CONFIDENT = 0.9
+#: A slot's words and characters at most; a pattern with more places for each seed than this opens none.
+MOST_WORDS = 12
+MOST_CHARS = 256
+OPEN = 10
+#: Kinds of candidates: shaped like an identifier; only counted against a pattern; of any shape, between a pattern's words.
+SHAPED, COUNTED, BETWEEN = -1, -2, -3
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -37,6 +51,11 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
 SPACES = re.compile(r"\s")
 WORD = re.compile(r"\w+")
+SHAPE = re.compile(r"[0-9@]")
+BEFORE_TOKEN = re.compile(r"[^\w\n+(\[{@]*")
+TOKEN = re.compile(r"\S+[^\S\n]*")
+BRACKETS = {"(": ")", "[": "]", "{": "}"}
+CLOSING = {b: a for a, b in BRACKETS.items()}
 
 
 def luhn(digits: str) -> bool:
@@ -104,29 +123,159 @@ def identifiers(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
-def patterns(text: str, start: int, end: int) -> list[int]:
-    """Hashes of the contexts of a span: two words before; a word before and one after. At most 80 characters a side."""
-    before = [w.lower() for w in WORD.findall(text[max(0, start - 80) : start])][-2:]
-    after = [w.lower() for w in WORD.findall(text[end : end + 80])][:1]
+def fold(word: str) -> str:
+    return word.lower() if word.isalpha() else DIGITS.sub("0", word.lower())
+
+
+def contexts(text: str, start: int, end: int) -> list[str]:
+    """Contexts of a span: two words before; a word before and one after, or the end. At most 80 characters a side."""
+    before = [fold(w) for w in WORD.findall(text[max(0, start - 80) : start])][-2:]
+    after = [fold(w) for w in WORD.findall(text[end : end + 80])][:1] or ["$"]
     out = []
     if len(before) == 2:
-        out.append(f"L {DIGITS.sub('0', ' '.join(before))}")
-    if before and after:
-        out.append(f"B {DIGITS.sub('0', before[-1])} _ {DIGITS.sub('0', after[0])}")
-    return [xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in out]
+        out.append(f"L {' '.join(before)}")
+    if before:
+        out.append(f"B {before[-1]} _ {after[0]}")
+    return out
+
+
+def hashed(patterns: list[str]) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in patterns]
+
+
+class Openers:
+    """Patterns by their words."""
+
+    def __init__(self, patterns: list[str]):
+        self.pairs: set[tuple[str, str]] = set()
+        self.sides: dict[str, set[str]] = {}
+        for p in patterns:
+            kind, *words = p.split(" ")
+            if kind == "L":
+                self.pairs.add((words[0], words[1]))
+            else:
+                self.sides.setdefault(words[0], set()).add(words[2])
+
+    def slots(self, words: list[str]) -> Iterator[tuple[str, int, int]]:
+        """(pattern, its first word's place, the place of the word after it; -1 where the pattern has none)."""
+        n, last, pairs, sides = len(words), "", self.pairs, self.sides
+        for j, w in enumerate(words):
+            if (last, w) in pairs:
+                yield f"L {last} {w}", j + 1, -1
+            last = w
+            rights = sides.get(w)
+            if rights:
+                near = words[j + 2 : j + 2 + MOST_WORDS]
+                for r in rights.intersection(near):
+                    yield f"B {w} _ {r}", j + 1, j + 2 + near.index(r)
+                if "$" in rights and 0 < n - j - 1 <= MOST_WORDS:
+                    yield f"B {w} _ $", j + 1, n
+
+
+def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """Without white space and punctuation around it, nor a bracket whose other half is not inside, nor a pair around all."""
+    out = lambda c: c.isspace() or c in ".,;:!?<>\"'"
+    while start < end:
+        inside = text[start:end]
+        if out(inside[0]) or (inside[0] in BRACKETS and BRACKETS[inside[0]] not in inside):
+            start += 1
+        elif out(inside[-1]) or (inside[-1] in CLOSING and CLOSING[inside[-1]] not in inside):
+            end -= 1
+        elif inside[0] in BRACKETS and inside.index(BRACKETS[inside[0]]) == len(inside) - 1:
+            start, end = start + 1, end - 1
+        else:
+            break
+    return start, end
+
+
+def run_of_tokens(text: str, at: int) -> tuple[int, int]:
+    """From the next token: the following ones of the line with a digit or an at sign, up to one that ends a clause; else that token."""
+    start = BEFORE_TOKEN.match(text, at).end()
+    end = start
+    for _ in range(MOST_WORDS):
+        m = TOKEN.match(text, end)
+        if not m or (end > start and not SHAPE.search(m[0])):
+            break
+        end = m.end()
+        if not SHAPE.search(m[0]) or m[0].rstrip()[-1] in ".,;:!?" or end - start > MOST_CHARS:
+            break
+    return start, end
+
+
+def candidates(text: str, openers: Openers) -> list[tuple[int, int, int, list[str]]]:
+    """(start, end, kind of candidate, patterns) of the slots in a text, but for those that touch base spans."""
+    folded = [fold(w) for w in WORD.findall(text)]
+    slots = list(openers.slots(folded))
+    if not slots:
+        return []
+    words = [m.span() for m in WORD.finditer(text)]
+    taken, found = sorted((a, b) for a, _, b in base_spans(text)), {}
+    reach = list(accumulate((b for _, b in taken), max))
+    starts = [a for a, _ in taken]
+    for p, first, after in slots:
+        at = words[first - 1][1]
+        end = min(len(text) if after == len(words) else words[after][0], at + 2 * MOST_CHARS) if after >= 0 else -1
+        start, end = trimmed(text, *((at, end) if after >= 0 else run_of_tokens(text, at)))
+        k = bisect_left(starts, end) - 1
+        if start >= end or end - start > MOST_CHARS or (k >= 0 and reach[k] > start):
+            continue
+        shaped = SHAPE.search(text, start, end)
+        kind, own = (SHAPED, contexts(text, start, end)) if shaped else (BETWEEN if after >= 0 else COUNTED, [p])
+        found.setdefault((start, end, kind), set()).update(own)
+    return [(a, b, k, sorted(own)) for (a, b, k), own in found.items()]
+
+
+CANDIDATES = "array<struct<s:long,e:long,k:int,i:long,p:array<long>,w:array<string>>>"
+
+
+def _cand(text: str, a: int, b: int, k: int, own: list[str]) -> dict:
+    return {"s": a, "e": b, "k": k, "i": xxhash.xxh3_64_intdigest(text[a:b].lower()) - (1 << 63), "p": hashed(own), "w": own if k >= 0 else []}
+
+
+def _cands(rows: list) -> pa.Array:
+    return pa.array(rows, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("k", pa.int32()), ("i", pa.int64()), ("p", pa.list_(pa.int64())), ("w", pa.list_(pa.string()))])))
 
 
 def _find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())]))
-    cand = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("k", pa.int32()), ("i", pa.int64()), ("p", pa.list_(pa.int64()))]))
     for batch in batches:
         spans, cands = [], []
         for text in texts_of(batch):
             found = base_spans(text)
             spans.append([{"s": a, "k": k, "e": b} for a, k, b in found])
-            every = [(a, b, k) for a, k, b in found] + [(a, b, -1) for a, b in identifiers(text, found)]
-            cands.append([{"s": a, "e": b, "k": k, "i": xxhash.xxh3_64_intdigest(text[a:b].lower()) - (1 << 63), "p": patterns(text, a, b)} for a, b, k in every])
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "base": pa.array(spans, span), "cand": pa.array(cands, cand)})
+            every = [(a, b, k) for a, k, b in found] + [(a, b, SHAPED) for a, b in identifiers(text, found)]
+            cands.append([_cand(text, a, b, k, contexts(text, a, b)) for a, b, k in every])
+        yield pa.RecordBatch.from_pydict({"rid": batch.column("rid"), "doc_id": batch.column("doc_id"), "base": pa.array(spans, span), "cand": _cands(cands)})
+
+
+def _count(patterns: list[str], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    openers, places = Openers(patterns), Counter()
+    for batch in batches:
+        for text in texts_of(batch):
+            places.update(p for p, _, _ in openers.slots([fold(w) for w in WORD.findall(text)]))
+    yield pa.RecordBatch.from_pydict({"p": pa.array(list(places), pa.string()), "places": pa.array(list(places.values()), pa.int64())})
+
+
+def _slots(patterns: list[str], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    openers = Openers(patterns)
+    for batch in batches:
+        cands = [[_cand(t, *x) for x in candidates(t, openers)] for t in texts_of(batch)]
+        out = pa.RecordBatch.from_pydict({"rid": batch.column("rid"), "cand": _cands(cands)})
+        yield out.filter(pc.greater(pc.list_value_length(out.column("cand")), 0))
+
+
+def opened(work: Workspace, docs: DataFrame, seen: DataFrame) -> DataFrame | None:
+    """(rid, cand): what the slots of the seeds' patterns hold; seen is of the first pass, docs has rid and text."""
+    seeds = seen.where("k >= 0").select("i", "k", F.explode("w").alias("p")).groupBy("p", "k").agg(F.countDistinct("i").alias("d"), F.count("*").alias("n"))
+    support = work.write(seeds.groupBy("p").agg(F.max("d").alias("d"), F.sum("n").alias("n")).where(F.col("d") >= SUPPORT), "support")
+    patterns = [r.p for r in support.select("p").toLocalIterator()]
+    if not patterns:
+        return None
+    places = arrow_map(docs.select("text"), _count, "p string, places long", patterns).groupBy("p").agg(F.sum("places").alias("places"))
+    patterns = [r.p for r in support.join(places, "p").where(F.col("places") <= OPEN * F.col("n")).select("p").toLocalIterator()]
+    if not patterns:
+        return None
+    return work.write(arrow_map(docs.select("rid", "text"), _slots, f"rid long, cand {CANDIDATES}", patterns), "slots")
 
 
 def _joined(spans):
@@ -135,7 +284,7 @@ def _joined(spans):
 
 
 def bootstrap(work: Workspace, seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """seen (rid, s, e, k, i, p): what base patterns and token shapes gave; k is -1 for no kind -> (rid, s, k, e) to add."""
+    """seen (rid, s, e, k, i, p): what base patterns, slots and token shapes gave; k is below 0 for no kind -> (rid, s, k, e) to add."""
     flat = seen.select("rid", "s", "e", "k", "i", F.explode("p").alias("p"))
     edges = work.write(flat.groupBy("p", "i", "k").agg(F.count("*").alias("n")), "edges")
     strength = edges.where("k >= 0").select("i", "k", F.lit(1.0).alias("v")).distinct()
@@ -143,30 +292,38 @@ def bootstrap(work: Workspace, seen: DataFrame, rounds: int = ROUNDS) -> DataFra
     for r in range(rounds):
         hits = edges.select("p", "i").distinct().join(strength, "i").groupBy("p", "k").agg(F.sum("v").alias("v"), F.count("*").alias("c"))
         rated = work.write(hits.where(F.col("c") >= SUPPORT).join(total, "p").select("p", "k", (F.col("v") / (F.col("m") + 0.25)).alias("score")), f"rated{r}")
-        via = edges.where("k < 0").select("p", "i").distinct().join(rated, "p")
+        via = edges.where(F.col("k") == SHAPED).select("p", "i").distinct().join(rated, "p")
         fresh = via.groupBy("i", "k").agg((1 - F.exp(F.sum(F.log1p(-F.least("score", F.lit(0.999)))))).alias("v"))
         strength = work.write(edges.where("k >= 0").select("i", "k", F.lit(1.0).alias("v")).union(fresh).groupBy("i", "k").agg(F.max("v").alias("v")), f"strength{r}")
     sure = rated.where(F.col("score") >= CONFIDENT).select("p", F.col("k").alias("kind"))
     strong = strength.where(F.col("v") >= CONFIDENT).select("i", F.col("k").alias("kind"))
     # One kind for each span: the first in the list that is sure.
-    new = flat.where("k < 0").join(sure, "p").join(strong, ["i", "kind"])
+    new = flat.where(F.col("k") == SHAPED).join(sure, "p").join(strong, ["i", "kind"]).select("rid", "s", "e", "kind")
+    new = new.union(flat.where(F.col("k") == BETWEEN).join(sure, "p").select("rid", "s", "e", "kind"))
     return new.groupBy("rid", "s", "e").agg(F.min("kind").alias("k")).select("rid", "s", "k", "e")
 
 
-def extract(docs: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Workspace]:
-    """(rid, doc_id, base, spans): arrays of (s, k, e); spans has the base and what the method adds."""
-    work = Workspace(docs.sparkSession, "pii")
-    found = arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), _find, "doc_id long, base array<struct<s:long,k:int,e:long>>, cand array<struct<s:long,e:long,k:int,i:long,p:array<long>>>")
-    found = work.write(found.withColumn("rid", F.monotonically_increasing_id()), "found")
+def extract(docs: DataFrame, work: Workspace, rounds: int = ROUNDS) -> DataFrame:
+    """docs (rid, doc_id, text), read more than once with equal rids -> (rid, doc_id, base, spans): arrays of (s, k, e); spans
+    has the base and what the method adds."""
+    found = arrow_map(docs.select("rid", F.col("doc_id").cast("long"), "text"), _find, f"rid long, doc_id long, base array<struct<s:long,k:int,e:long>>, cand {CANDIDATES}")
+    found = work.write(found, "found")
     seen = found.where("size(cand) > 0").select("rid", F.explode("cand").alias("c")).select("rid", "c.*")
+    more = opened(work, docs, seen)
+    if more is not None:
+        seen = seen.union(more.select("rid", F.explode("cand").alias("c")).select("rid", "c.*"))
     added = work.write(bootstrap(work, seen, rounds), "added").groupBy("rid").agg(F.collect_list(F.struct("s", "k", "e")).alias("more"))  # bounded by the text
+    wider = lambda x, y: (y["s"] <= x["s"]) & (y["e"] >= x["e"]) & (y["e"] - y["s"] > x["e"] - x["s"])
+    added = added.select("rid", F.filter("more", lambda x: ~F.exists("more", lambda y: wider(x, y))).alias("more"))
     out = found.select("rid", "doc_id", "base").join(added, "rid", "left")
-    return out.select("rid", "doc_id", "base", F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more"))).alias("spans")), work
+    return out.select("rid", "doc_id", "base", F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more"))).alias("spans"))
 
 
 def report(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans."""
-    out, _ = extract(docs, rounds)
+    work = Workspace(docs.sparkSession, "pii")
+    numbered = work.write(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), "text"), "docs")
+    out = extract(numbered, work, rounds)
 
     def n(k: int):
         return F.size(F.filter("base", lambda x: x["k"] == k)).cast("long").alias(f"n_{KINDS[k]}")
@@ -195,9 +352,9 @@ def _mask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """docs with every span masked; n_chars, where there is one, counts the new text."""
     work = Workspace(docs.sparkSession, "redact")
-    numbered = work.write(docs.withColumn("__row", F.monotonically_increasing_id()), "docs")
-    out, _ = extract(numbered.select(F.col("__row").alias("doc_id"), "text"), rounds)
-    spans = work.write(out.where("size(spans) > 0").select(F.col("doc_id").alias("__row"), "spans"), "spans")
+    numbered = work.write(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    out = extract(numbered.select(F.col("__row").alias("rid"), F.col("__row").alias("doc_id"), "text"), work, rounds)
+    spans = work.write(out.where("size(spans) > 0").select(F.col("rid").alias("__row"), "spans"), "spans")
     names = docs.columns
     hit = numbered.join(spans, "__row").drop("__row")
     hit = arrow_map(hit, _mask, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
