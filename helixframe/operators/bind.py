@@ -1,7 +1,8 @@
 """Raw rows (info maps of text) bound to the typed table that a header describes, and cleaned values.
 
-Strict: a value that its header type can't hold, or a per-alternate list of a wrong length, is an error. Lenient: null,
-or the shorter of both lists.
+Strict: a value that its header type can't hold, a per-alternate list of a wrong length, or a key that the header doesn't
+define is an error. Lenient: null, the shorter of both lists, or no column (`header.infer_info` and `infer_format` find
+definitions for such keys).
 """
 
 from __future__ import annotations
@@ -68,6 +69,15 @@ def _value(x: dict[str, str], source: Column, lenient: bool, missing: float | No
     return clean_list(F.transform(F.split(text, ","), lambda v: typed(v, kind, x["ID"], lenient)), kind, missing)
 
 
+def _defined(info: list[str], form: list[str]) -> Column:
+    """True, or an error where a row has an INFO or FORMAT key that isn't in these."""
+    known = lambda keys: F.array(*[F.lit(k) for k in keys]).cast("array<string>")
+    strange = F.array_except(F.map_keys("info"), known([*info, "END"]))
+    calls = F.array_except(F.flatten(F.transform("call", lambda c: F.map_keys(c["info"]))), known([*form, "GT", "PS"]))
+    wrong = F.concat(F.coalesce(strange, F.array().cast("array<string>")), F.coalesce(calls, F.array().cast("array<string>")))
+    return F.when(F.size(wrong) > 0, F.raise_error(F.concat(F.lit("no such field in the header: "), F.array_join(wrong, ", "))).cast("boolean")).otherwise(True)
+
+
 def bind(rows: DataFrame, header: Header, lenient: bool = False, split_alternates: bool = True, missing: float | None = None, sample_id: Column | None = None) -> DataFrame:
     """The columns of `header.schema`. sample_id: an expression over the field `name` of a call, by default its xxhash64."""
     info, form = header.sections["INFO"], header.sections["FORMAT"]
@@ -87,6 +97,8 @@ def bind(rows: DataFrame, header: Header, lenient: bool = False, split_alternate
         fields = [_value(x, c["info"], lenient, missing).alias(column_name(k)) for k, x in form.items() if k not in ("GT", "PS")]
         return F.struct(ident.alias("sample_id"), c["name"].alias("name"), F.transform(c["genotype"], lambda g: g.cast("long")).alias("genotype"), c["phaseset"].alias("phaseset"), *fields)
 
+    if not lenient:  # a filter, since a column that nothing reads would go with its error
+        rows = rows.where(_defined(list(info), list(form)))
     alts = F.transform("alternate_bases", lambda a, i: F.struct(a.alias("alt"), *[at(x, i).alias(column_name(x["ID"])) for x in per]))
     return rows.select(
         "reference_name", "start_position", "end_position", "reference_bases", alts.alias("alternate_bases"), "names", "quality",

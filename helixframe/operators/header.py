@@ -83,16 +83,26 @@ def definitions(lines: DataFrame) -> DataFrame:
     return x.groupBy("category", "id", "number", "type").agg(F.slice(F.array_sort(F.collect_set("file_path")), 1, 5).alias("files"))
 
 
-def infer_info(rows: DataFrame) -> DataFrame:
-    """key -> number, type, from all values of the info maps: one pass with partial aggregation."""
-    x = rows.select(F.explode("info").alias("id", "value"))
+def _inferred(x: DataFrame, flags: bool) -> DataFrame:
+    """x: id, value."""
     parts = F.filter(F.split("value", ","), lambda v: v != ".")
-    rank = F.when(F.col("value").isNull(), 0).when(F.forall(parts, lambda v: v.try_cast("long").isNotNull()), 1).when(F.forall(parts, lambda v: v.try_cast("double").isNotNull()), 2).otherwise(3)
+    rank = F.when(F.forall(parts, lambda v: v.try_cast("long").isNotNull()), 1).when(F.forall(parts, lambda v: v.try_cast("double").isNotNull()), 2).otherwise(3)
+    rank = F.when(F.col("value").isNull(), 0 if flags else 1).otherwise(rank)
     out = x.select("id", rank.alias("rank"), F.size(F.split("value", ",")).alias("n")).groupBy("id").agg(F.max("rank").alias("rank"), F.max("n").alias("n"))
     kind = F.element_at(F.array(*[F.lit(k) for k in ("Flag", "Integer", "Float", "String")]), F.col("rank") + 1)
     return out.select("id", F.when(F.col("rank") == 0, "0").when(F.col("n") > 1, ".").otherwise("1").alias("number"), kind.alias("type"))
 
 
+def infer_info(rows: DataFrame) -> DataFrame:
+    """key -> number, type, from all values of the info maps: one pass with partial aggregation."""
+    return _inferred(rows.select(F.explode("info").alias("id", "value")), True)
+
+
+def infer_format(rows: DataFrame) -> DataFrame:
+    """The same for the fields of calls; a value that a call leaves out says nothing, and there are no flags."""
+    return _inferred(rows.select(F.explode("call.info").alias("m")).select(F.explode("m").alias("id", "value")), False)
+
+
 def schema(header: Header, split_alternates: bool = True) -> T.StructType:
     """The nested table schema: fixed columns, per-alternate fields, calls, then the other info fields."""
 

@@ -21,6 +21,12 @@ def header_lines(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").startswith("#"))
 
 
+def sample_names(lines: DataFrame) -> dict[str, list[str]]:
+    """file_path -> the samples of its column line; one row for each file."""
+    rows = lines.where(F.col("value").startswith("#CHROM")).select("file_path", F.split("value", "\t").alias("f")).collect()
+    return {r.file_path: r.f[9:] for r in rows}
+
+
 def _list(x: Column, sep: str) -> Column:
     return F.when(x.isNull() | x.isin(".", ""), F.array().cast("array<string>")).otherwise(F.split(x, sep))
 
@@ -37,11 +43,12 @@ def _genotype(gt: Column) -> Column:
     return F.when(gt.isNull() | (gt == ""), F.array().cast("array<int>")).otherwise(F.transform(F.split(gt, r"[|/]"), lambda a: F.coalesce(a.try_cast("int"), F.lit(-1))))
 
 
-def parse(lines: DataFrame, names: list[str] | None = None, one_based: bool = False) -> DataFrame:
+def parse(lines: DataFrame, names: list[str] | dict[str, list[str]] | None = None, one_based: bool = False) -> DataFrame:
     """Data lines -> reference_name, start_position, end_position, reference_bases, alternate_bases, names, quality,
     filter, info (map), call (array), error.
 
-    names: the samples of the files' column line, by position; without it calls are numbered. END in INFO sets the end
+    names: the samples of the files' column line, by position, or those of each file by its file_path (`sample_names`);
+    without it calls are numbered. END in INFO sets the end
     and leaves the map. A quality of 0 or '.' is null. Genotype dots are -1; a phased call without PS has phaseset '*'.
     """
     x = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", F.split("value", "\t"))
@@ -51,7 +58,12 @@ def parse(lines: DataFrame, names: list[str] | None = None, one_based: bool = Fa
     last = F.coalesce(F.try_element_at("all_info", F.lit("END")).try_cast("long"), F.col("pos") - 1 + F.length(f[3]))
     bad = F.when(F.size("f") < 8, "too few columns").when(F.col("pos").isNull() | (F.col("pos") < 1), "position").when(last < 0, "end").when((f[5] != ".") & f[5].try_cast("double").isNull(), "quality")
     keys, samples = F.split(f[8], ":"), F.slice("f", F.lit(10), F.greatest(F.size("f") - 9, F.lit(0)))
-    who = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    each = lambda ns: F.array(*[F.lit(n) for n in ns]).cast("array<string>")
+    if isinstance(names, dict):
+        known = F.create_map(*[x for path, ns in names.items() for x in (F.lit(path), each(ns))]).cast("map<string,array<string>>")
+        who = F.coalesce(F.try_element_at(known, F.col("file_path")), each([]))
+    else:
+        who = each(names or [])
 
     def call(s: Column, i: Column) -> Column:
         values = F.split(s, ":")
