@@ -39,22 +39,27 @@ class DigestIndex:
         return self.spark.catalog.tableExists(self.name)
 
     def table(self) -> DataFrame:
-        return self.spark.table(self.name)
+        """One row for each digest: the id that first came with it, and the copies of all batches."""
+        return self.spark.table(self.name).groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
     def groups(self, digests: DataFrame) -> DataFrame:
         """digests (digest, doc_id) -> one row for each digest; counts are combined before the shuffle."""
         return digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
 
     def add(self, digests: DataFrame) -> None:
+        """Appends unseen digests, and for those that are held a row with the count of the new copies and no id."""
         new = self.groups(digests)
         if self.exists():
-            new = new.hint("merge").join(self.table().select("digest").hint("merge"), "digest", "left_anti")
+            held = self.spark.table(self.name).select("digest")
+            fresh = new.hint("merge").join(held.hint("merge"), "digest", "left_anti")
+            again = new.hint("merge").join(held.hint("merge"), "digest", "left_semi")
+            new = fresh.union(again.withColumn("keep_id", F.lit(None).cast("long")))
         out = new.repartition(self.buckets, "digest").sortWithinPartitions("digest")
         out.write.mode("append").bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).format("parquet").saveAsTable(self.name)
 
     def unseen(self, digests: DataFrame) -> DataFrame:
         """Rows whose digest the index doesn't hold."""
-        return digests.join(self.table().select("digest").hint("merge"), "digest", "left_anti") if self.exists() else digests
+        return digests.join(self.spark.table(self.name).select("digest").hint("merge"), "digest", "left_anti") if self.exists() else digests
 
 
 def assign(docs: DataFrame) -> DataFrame:
