@@ -252,6 +252,16 @@ def a12_quantiles(spark, sf_dir):
     return x.agg(q.alias("q"), F.count("*").alias("n")).select(F.col("q")[0].alias("q0"), F.col("q")[10].alias("q10"), "n")
 
 
+DECILES = [i / 10 for i in range(11)]
+
+
+@query("SELECT " + ", ".join(f"CAST(quantile_disc({c}, {p}) AS BIGINT) AS {c.lower()}{i}" for c in ("AC", "AN") for i, p in enumerate(DECILES)) + " FROM va")
+def a12_deciles(spark, sf_dir):
+    """All deciles of both counts, exactly."""
+    x = alternates(variants(spark, sf_dir))
+    return x.agg(*[F.expr(f"CAST(percentile_disc({p}) WITHIN GROUP (ORDER BY {c}) AS BIGINT)").alias(f"{c.lower()}{i}") for c in ("AC", "AN") for i, p in enumerate(DECILES)])
+
+
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders that are done are non-variant intervals, the others are variants; the customer is the sample."""
     o, k = spark.read.parquet(f"{sf_dir}/orders.parquet"), F.col("o_orderkey")
@@ -324,6 +334,17 @@ def v8_annotation_counters(spark, sf_dir):
     return annotate.problems(_annotated(spark, sf_dir), "csq", ANNOTATION)
 
 
+@query(PARTS + """SELECT count(*) AS variants, count(*) AS annotations, CAST(count_if(NOT (allele = '-' OR (NOT even AND p_size % 7 <> 0 AND allele = 'DEL'))) AS BIGINT) AS unmatched,
+  CAST(count_if(p_size % 7 = 0 AND allele = '-') AS BIGINT) AS ambiguous, CAST(count_if(p_size % 3 = 0) AS BIGINT) AS wrong_width FROM p""")
+def v8_annotation_counters_minimal(spark, sf_dir):
+    """The minimal mode: some variants have two alternates that only delete bases, some annotations a field too many."""
+    x = _annotated(spark, sf_dir)
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"), "p_size")
+    x = x.join(parts, "k").withColumn("csq", F.when(F.col("p_size") % 3 == 0, F.concat("csq", F.lit("|x"))).otherwise(F.col("csq")))
+    x = x.withColumn("alternate_bases", F.when(F.col("p_size") % 7 == 0, F.array(F.lit("C"), F.lit("CA"))).otherwise(F.col("alternate_bases")))
+    return annotate.problems(x, "csq", ANNOTATION, "minimal")
+
+
 @query(PARTS + "SELECT k, allele || '|' || symbol || '|' || consequence || '|' || p_size % 4 AS csq FROM p WHERE (even AND allele IN ('-', 'ATT')) OR (NOT even AND allele = 'DEL')")
 def v7_annotation_text(spark, sf_dir):
     x = annotate.attach(_annotated(spark, sf_dir), "csq", ANNOTATION)
