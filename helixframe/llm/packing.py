@@ -1,8 +1,8 @@
 """Packing by power-of-two decomposition.
 
 A document's ids, with the end id, are cut into pieces whose lengths are the powers of two of its length in binary,
-longest first, at most `longest`. Each piece is a sequence of its own: sequences of one length form a bucket, need no
-padding, and none crosses documents.
+longest first, at most `longest`. Each piece is a sequence of its own and needs no padding; none crosses documents. Rows come
+in document order: bucketing by the column length is left to the reader, or to `write_buckets`, which no query or stage calls.
 
 Ids come from the ranks of the same byte-level vocabulary through tiktoken, which gives the ids of the tokenizers file
 (tested); special strings inside texts become their id, the tokenizers library's default.
