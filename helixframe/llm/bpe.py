@@ -295,11 +295,19 @@ def _decode(content, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string())})
 
 
+_broadcasts: dict[tuple[str, str], object] = {}
+
+
 def _shared(df: DataFrame, path: str):
-    """The tokenizer file as a broadcast: a file of fixed size, so executors need no copy of it on disk."""
+    """The tokenizer file as a broadcast: a file of fixed size, so executors need no copy of it on disk. One for each application."""
     prepare(df.sparkSession)
     with open(path, encoding="utf-8") as f:
-        return df.sparkSession.sparkContext.broadcast(f.read())
+        content = f.read()
+    sc = df.sparkSession.sparkContext
+    key = (sc.applicationId, hashlib.md5(content.encode()).hexdigest())
+    if key not in _broadcasts:
+        _broadcasts[key] = sc.broadcast(content)
+    return _broadcasts[key]
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import partial
 from pathlib import Path
 
@@ -21,7 +22,10 @@ BYTES_PER_BATCH = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make Arrow batches small in rows and bytes, and ship this package to the executors once."""
+    """Make Arrow batches small in rows and bytes, and ship this package to the executors once.
+
+    The batch sizes are settings of the session and stay set, since plans that read them run after an operator returns.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     sc = spark.sparkContext
@@ -37,10 +41,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a folder of our own only where that is unset."""
+    """The cluster's shared folder (spark.checkpoint.dir); a folder of our own only where that is unset in local mode."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", f"helixframe-{os.getpid()}")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -69,8 +75,18 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        _remove(self.spark, f"{self.path}/{name}")
+    def drop(self, *names: str) -> None:
+        for name in names:
+            _remove(self.spark, f"{self.path}/{name}")
+
+    @contextmanager
+    def broadcast(self, value: bytes):
+        """A broadcast for the tables written inside; it is gone from the driver and the executors after that."""
+        out = self.spark.sparkContext.broadcast(value)
+        try:
+            yield out
+        finally:
+            out.destroy()
 
 
 def arrow_map(df: DataFrame, fn: Callable[..., Iterable[pa.RecordBatch]], schema: str, *args) -> DataFrame:
@@ -126,7 +142,6 @@ def connected_components(work: Workspace, edges: DataFrame, name: str) -> DataFr
     Each round is written to the shared folder. The label is the smallest id of the component. Nodes without
     edges are not returned. Rounds grow with the logarithm of the longest path, not with the number of nodes.
     """
-    spark = work.spark
     cur = work.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}0")
     mark, k = None, 0
     while True:
@@ -137,6 +152,7 @@ def connected_components(work: Workspace, edges: DataFrame, name: str) -> DataFr
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
         k += 1
         cur = work.write(small, f"{name}{k}")
+        work.drop(f"{name}{k - 1}")
         seen = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break
@@ -152,11 +168,11 @@ class Bits:
 
     @staticmethod
     def slots(df: DataFrame, column: str, n: int) -> np.ndarray:
-        """n: bits, a power of two; at most n / 64 rows reach the driver."""
+        """n: bits, a power of two; the driver gets at most n / 64 pairs of numbers, as Arrow columns of one job."""
         rows = df.selectExpr(f"shiftright({column} & {n - 1}L, 6) AS w", f"shiftleft(1L, cast({column} & 63L AS int)) AS b")
         words = np.zeros(n // 64, np.uint64)
-        for r in rows.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toLocalIterator():
-            words[r.w] = np.uint64(r.b & (2**64 - 1))
+        found = rows.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toArrow()
+        words[found["w"].to_numpy()] = found["b"].to_numpy().view(np.uint64)
         return words
 
     def has(self, x: np.ndarray) -> np.ndarray:

@@ -11,8 +11,10 @@
    the components don't depend on it). What is left is joined by its differences from a hub, one member of the list:
    the hub's own links are exact, and two texts not both linked to it can only be linked if they share some of the
    shingles in which they differ from it. Those are posted, rarest first, as many as the wanted overlap asks for, and
-   a pair is made only where the rest can still reach that overlap. So a list of near copies is hardly ever expanded
-   into all its pairs, and no link between two components is lost.
+   a pair is made only where the rest can still reach that overlap. Components are joined before that, and a difference
+   whose texts are all in one is done; one that more than TOGETHER_BY_DIFFERENCE texts of several components share is a
+   list again, with a hub of its own. So a list of near copies is hardly ever expanded into all its pairs, and no link
+   between two components is lost.
 5. Collisions are counted on byte-wide signatures (never fewer than the true count); pairs at or above T are
    confirmed on the full shingle sets.
 
@@ -39,10 +41,15 @@ from helixframe.llm.common import Bits, Workspace, arrow_map, chunks_by_bytes, c
 from helixframe.llm.textcore import U, mix, shingle_hashes
 
 COORDINATES = 128
-SKETCH = 1 << 22
+MOST_SLOTS = 1 << 22
 BLOCK = 1 << 13
 TOGETHER = 2
 ROUNDS = 1
+#: A key with more texts than this by the sketch is common: its rows are not dealt out by the key alone.
+COMMON = 1_000
+#: A difference with more texts than this becomes a list with a hub of its own, so many levels deep at most.
+TOGETHER_BY_DIFFERENCE = 64
+DEPTH = 4
 CHUNK = 1 << 20
 _FACTORS = np.random.default_rng(4).integers(0, 1 << 32, 2048, dtype=np.uint32) | np.uint32(1)
 _TAGS = np.random.default_rng(5).integers(0, 1 << 64, 2048, dtype=U)
@@ -72,8 +79,13 @@ def pair_keys(sig: np.ndarray) -> np.ndarray:
     return mix(sig.astype(U) ^ _TAGS[: sig.shape[-1]])
 
 
-def sketch_slot(keys: np.ndarray) -> np.ndarray:
-    return (keys >> U(40)).astype(np.int64) & (SKETCH - 1)
+def slots_for(rows: int) -> int:
+    """Counters of a sketch: some for each row, so that small inputs have small sketches; bounded for large ones."""
+    return 1 << min(MOST_SLOTS.bit_length() - 1, max(BLOCK.bit_length() - 1, (16 * max(rows, 1)).bit_length()))
+
+
+def sketch_slot(keys: np.ndarray, slots: int) -> np.ndarray:
+    return (keys >> U(40)).astype(np.int64) & (slots - 1)
 
 
 def _profiles(width: int, coordinates: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,49 +115,60 @@ def _difference_keys(batch: pa.RecordBatch) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column("delta").to_pylist()), U)
 
 
-def _counted(keys_of, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each slot of the sketch is used in this task, as blocks of counters."""
-    total, waiting = np.zeros(SKETCH, np.uint32), []
+def _counted(keys_of, slots: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each slot of the sketch is used in this task, by blocks: the places used (16 bits) and their counts."""
+    total, waiting, held = np.zeros(slots, np.uint32), [], 0
 
     def add() -> None:
         if waiting:
-            total[:] += np.bincount(np.concatenate(waiting), minlength=SKETCH).astype(np.uint32)
+            total[:] += np.bincount(np.concatenate(waiting), minlength=slots).astype(np.uint32)
             waiting.clear()
 
     for batch in batches:
-        waiting.append(sketch_slot(keys_of(batch)))
-        if sum(map(len, waiting)) > SKETCH:
+        waiting.append(sketch_slot(keys_of(batch), slots))
+        held += len(waiting[-1])
+        if held > MOST_SLOTS // 4:
             add()
+            held = 0
     add()
-    blocks = total.reshape(-1, BLOCK)
-    (used,) = np.nonzero(blocks.any(axis=1))
-    yield pa.RecordBatch.from_pydict({"block": pa.array(used, pa.int64()), "counts": pa.array([blocks[i].tobytes() for i in used], pa.binary())})
+    for k in range(0, slots, 32 * BLOCK):
+        out: dict[str, list] = {"block": [], "at": [], "counts": []}
+        for i in range(k // BLOCK, min(k + 32 * BLOCK, slots) // BLOCK):
+            part = total[i * BLOCK : (i + 1) * BLOCK]
+            at = np.flatnonzero(part)
+            if len(at):
+                out["block"].append(i)
+                out["at"].append(at.astype(np.uint16).tobytes())
+                out["counts"].append(part[at].tobytes())
+        yield pa.RecordBatch.from_pydict({"block": pa.array(out["block"], pa.int64())} | {c: pa.array(out[c], pa.binary()) for c in ("at", "counts")})
 
 
 def _add_up(part: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(BLOCK, np.uint32)
-    for x in part["counts"]:
-        total += np.frombuffer(x, np.uint32)
+    for at, x in zip(part["at"], part["counts"], strict=True):
+        total[np.frombuffer(at, np.uint16)] += np.frombuffer(x, np.uint32)
     return pd.DataFrame({"block": part["block"].iloc[:1], "counts": [total.tobytes()]})
 
 
-def _sketch(df: DataFrame, keys_of) -> bytes:
-    counts = arrow_map(df, _counted, "block long, counts binary", keys_of).groupBy("block").applyInPandas(_add_up, "block long, counts binary")
-    sketch = np.zeros((SKETCH // BLOCK, BLOCK), np.uint32)
-    for r in counts.toLocalIterator():  # the sketch's size is fixed
-        sketch[r.block] = np.frombuffer(r.counts, np.uint32)
+def _sketch(df: DataFrame, keys_of, slots: int) -> bytes:
+    counts = arrow_map(df, _counted, "block long, at binary, counts binary", keys_of, slots).groupBy("block").applyInPandas(_add_up, "block long, counts binary")
+    sketch = np.zeros((slots // BLOCK, BLOCK), np.uint32)
+    found = counts.toArrow()  # one row for each block
+    for block, x in zip(found["block"].to_pylist(), found["counts"].to_pylist(), strict=True):
+        sketch[block] = np.frombuffer(x, np.uint32)
     return sketch.tobytes()
 
 
-def _post(sketch, prefix: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _post(sketch, prefix: int, common: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.frombuffer(sketch.value, np.uint32)
     for batch in batches:
         keys = pair_keys(np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES))
-        rare = (counts[sketch_slot(keys)].astype(U) << U(24)) | (keys >> U(40))  # by count, then by hash
+        rare = (counts[sketch_slot(keys, len(counts))].astype(U) << U(24)) | (keys >> U(40))  # by count, then by hash
         order = np.argpartition(rare, prefix - 1, axis=1)[:, :prefix]
         rid = np.repeat(batch.column("rid").to_numpy(zero_copy_only=False), prefix)
         n = np.repeat(batch.column("n").to_numpy(zero_copy_only=False), prefix)
-        yield pa.RecordBatch.from_pydict({"key": pa.array(np.take_along_axis(keys, order, axis=1).ravel().view(np.int64)), "rid": pa.array(rid, pa.int64()), "n": pa.array(n, pa.int64())})
+        keys, often = np.take_along_axis(keys, order, axis=1).ravel(), np.take_along_axis(rare, order, axis=1).ravel() >> U(24) > U(common)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "rid": pa.array(rid, pa.int64()), "n": pa.array(n, pa.int64()), "common": pa.array(often)})
 
 
 def _colliding(least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +218,7 @@ def _differences(num: int, den: int, batches: Iterable[pa.RecordBatch]) -> Itera
             only = z[~(same[1:] | same[:-1])]
             linked.append(len(only) * (den + num) <= len(z) * (den - num))
             delta.append(mix(only ^ h).tobytes())
-        kept = {c: batch.column(c) for c in ("rid", "hub", "label", "n", "hn")}
+        kept = {c: batch.column(c) for c in ("rid", "hub", "n", "hn")}
         yield pa.RecordBatch.from_pydict(kept | {"linked": pa.array(linked, pa.bool_()), "delta": pa.array(delta, pa.binary())})
 
 
@@ -209,48 +232,76 @@ def _post_differences(sketch, num: int, den: int, batches: Iterable[pa.RecordBat
     """
     counts = np.frombuffer(sketch.value, np.uint32)
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("rid", "label", "n", "hn", "linked", "delta")]
-        out: dict[str, list[np.ndarray]] = {c: [] for c in ("key", "rid", "label", "n", "d", "at", "linked", "small")}
-        for rid, label, n, hn, linked, delta in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("rid", "n", "hn", "linked", "delta")]
+        out: dict[str, list[np.ndarray]] = {c: [] for c in ("key", "rid", "n", "d", "at", "linked", "small")}
+        for rid, n, hn, linked, delta in zip(*columns, strict=True):
             keys = np.frombuffer(delta, U)
             d, far = len(keys), n * (den - num) // num
             least = max(1, (d * (den + num) + (den - num) * (hn - n)) // (2 * (den + num)) + 1) if linked else 1
             small = d - max(least, -(-(2 * d - far) // 2)) + 1
             take = max(small, d - max(least, d - far) + 1, 0)
-            rare = (counts[sketch_slot(keys)].astype(U) << U(24)) | (keys >> U(40))
+            rare = (counts[sketch_slot(keys, len(counts))].astype(U) << U(24)) | (keys >> U(40))
             keys = keys[np.lexsort((keys, rare))[:take]]
             k = len(keys)
             out["key"].append(keys.view(np.int64))
             out["at"].append(np.arange(k))
             out["small"].append(np.arange(k) < small)
-            for c, v in (("rid", rid), ("label", label), ("n", n), ("d", d), ("linked", linked)):
+            for c, v in (("rid", rid), ("n", n), ("d", d), ("linked", linked)):
                 out[c].append(np.full(k, v))
         yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate(v) if v else []).cast(pa.bool_() if c in ("linked", "small") else pa.int64()) for c, v in out.items()})
 
 
-def _by_hubs(work: Workspace, part: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Links of texts to the hubs of their lists, and the pairs of a list that may be linked besides."""
-    spark = work.spark
+def _named(labels: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """rows with the label of their rid, which is the rid where it has no links yet."""
+    if labels is None:
+        return rows.withColumn("label", F.col("rid"))
+    return rows.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+
+
+def _joined(work: Workspace, labels: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
+    """Labels after more links; what is known already goes in as stars."""
+    known = links.select("a", "b")
+    if labels is not None:
+        known = known.union(labels.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b")))
+    return connected_components(work, known, name)
+
+
+def _deltas(work: Workspace, name: str, part: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Each text of a list beside the list's hub, a member picked by hash: their differences, and whether they are linked."""
     hubs = part.groupBy("key").agg(F.min(F.struct(F.xxhash64("rid").alias("h"), F.col("rid").alias("hub"), F.col("n").alias("hn"))).alias("s")).select("key", "s.hub", "s.hn")
-    near = part.join(hubs, "key").where("rid <> hub").select("rid", "hub", "label", "n", "hn").distinct()
+    near = part.join(hubs, "key").where("rid <> hub").select("rid", "hub", "n", "hn").distinct()
     near = near.join(sets, "rid").join(sets.select(F.col("rid").alias("hub"), F.col("sh").alias("hs")), "hub")
-    deltas = work.write(arrow_map(near, _differences, "rid long, hub long, label long, n long, hn long, linked boolean, delta binary", num, den), "deltas")
-    sketch = spark.sparkContext.broadcast(_sketch(deltas.select("delta"), _difference_keys))
-    posted = work.write(arrow_map(deltas, _post_differences, "key long, rid long, label long, n long, d long, at long, linked boolean, small boolean", sketch, num, den), "differences")
-    x, y = (posted.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("rid", "label", "n", "d", "at", "linked", "small")]) for k in ("a", "b"))
+    return work.write(arrow_map(near, _differences, "rid long, hub long, n long, hn long, linked boolean, delta binary", num, den), name)
+
+
+def _by_differences(work: Workspace, name: str, deltas: DataFrame, labels: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs that may be linked besides the hubs' links, and the lists of differences that too many texts share.
+
+    A difference whose texts are all in one component is done.
+    """
+    slots = slots_for(deltas.count() * 8)
+    with work.broadcast(_sketch(deltas.select("delta"), _difference_keys, slots)) as sketch:
+        posted = arrow_map(deltas, _post_differences, "key long, rid long, n long, d long, at long, linked boolean, small boolean", sketch, num, den)
+        posted = work.write(_named(labels, posted), f"differences{name}")
+    lists = posted.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("m > 1 AND lo <> hi").select("key", "m")
+    shared = work.write(posted.join(lists, "key"), f"common{name}")
+    work.drop(f"differences{name}")
+    few = shared.where(F.col("m") <= TOGETHER_BY_DIFFERENCE) if int(name) < DEPTH else shared
+    x, y = (few.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("rid", "label", "n", "d", "at", "linked", "small")]) for k in ("a", "b"))
     order = "(da < db OR (da = db AND rida < ridb)) AND labela <> labelb AND NOT (linkeda AND linkedb)"
     alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb) AND (db - da) * {den + num} <= {den - num} * (na + nb)"
     reach = f"2 * least(da - ata, db - atb) * {den + num} >= (da + db) * {den + num} - {den - num} * (na + nb)"
     pairs = x.where("smalla").join(y, "key").where(f"{order} AND {alike} AND {reach}")
-    return deltas.where("linked").select(F.greatest("rid", "hub").alias("b"), F.least("rid", "hub").alias("a")).select("a", "b"), pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct()
+    pairs = work.write(pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct(), f"pairsh{name}")
+    return pairs, shared.where(F.col("m") > TOGETHER_BY_DIFFERENCE).select("key", "rid", "n", "label")
 
 
 def _sets_of(work: Workspace, name: str, rids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(rid, sh): full sets of these representatives, made anew from the texts; only those are shuffled."""
     flagged = work.write(classes.join(rids, "rid", "left_semi").select("digest", "rid"), f"flagged{name}")
-    keep = work.spark.sparkContext.broadcast(digest_slots(flagged, "digest").tobytes())
-    sets = arrow_map(docs, _sets, "digest binary, sh binary", width, keep)
-    return work.write(sets.join(flagged, "digest").dropDuplicates(["digest"]).select("rid", "sh"), f"sets{name}")
+    with work.broadcast(digest_slots(flagged, "digest").tobytes()) as keep:
+        sets = arrow_map(docs, _sets, "digest binary, sh binary", width, keep)
+        return work.write(sets.join(flagged, "digest").dropDuplicates(["digest"]).select("rid", "sh"), f"sets{name}")
 
 
 def _links(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFrame, width: int, least: int, num: int, den: int, sets: DataFrame | None = None) -> DataFrame:
@@ -283,13 +334,22 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     rows = work.write(profiles.withColumn("rid", F.monotonically_increasing_id()), "rows")
     # One row for each distinct set: its smallest row number stands for it.
     classes = work.write(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least")), "classes")
-    sketch = spark.sparkContext.broadcast(_sketch(rows.where("n > 0").select("sig"), _coordinate_keys))
-    posted = arrow_map(rows.select("rid", "n", "sig").join(classes.select("rid"), "rid", "left_semi"), _post, "key long, rid long, n long", sketch, prefix)
-    posted = work.write(posted, "posted").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")  # once, for both uses
-    lists = posted.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    open_ = work.write(posted.join(lists, "key").withColumn("label", F.col("rid")), "shared")
+    total = rows.count()
+    slots = slots_for(total)
+    with work.broadcast(_sketch(rows.where("n > 0").select("sig"), _coordinate_keys, slots)) as sketch:
+        # Slots hold some texts' pairs by chance; what is common stands out from those.
+        common = COMMON + 4 * coordinates * total // slots
+        posted = arrow_map(rows.select("rid", "n", "sig").join(classes.select("rid"), "rid", "left_semi"), _post, "key long, rid long, n long, common boolean", sketch, prefix, common)
+        posted = work.write(posted, "posted")
+
+    def with_size(x: DataFrame) -> DataFrame:
+        return x.drop("common").join(x.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key")
+
+    # Rare keys are dealt out once, for count and join; common ones are counted before the shuffle, and their join can be split.
+    rare = posted.where("NOT common").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
+    open_ = work.write(with_size(rare).union(with_size(posted.where("common"))).withColumn("label", F.col("rid")), "shared")
     work.drop("posted")
-    texts, links, labels = docs.select("text"), None, None
+    texts, labels, held = docs.select("text"), None, "shared"
     for r in range(ROUNDS):
         # Small groups of each list, other ones each round; a short list is one group.
         by = F.when(F.col("m") <= 2 * TOGETHER, F.lit(0)).otherwise(F.pmod(F.xxhash64("rid", "key", F.lit(r)), F.ceil(F.col("m") / TOGETHER)))
@@ -300,27 +360,32 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
         if not pairs.head(1):
             continue
         found = _links(work, str(r), pairs, rows, classes, texts, width, t, num, den)
-        work.drop(f"sets{r}")
-        links = found if links is None else links.union(found)
-        labels = connected_components(work, links, f"cc{r}_")
-        open_ = open_.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+        work.drop(f"sets{r}", f"pairs{r}", f"near{r}")
+        labels = _joined(work, labels, found, f"cc{r}_")
+        open_ = _named(labels, open_)
         split = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
         open_ = work.write(open_.join(split, "key", "left_semi"), f"open{r}")
-    part = open_.where(F.col("m") > 2 * TOGETHER)  # short lists are settled
-    if part.head(1):
-        sets = _sets_of(work, "h", part.select("rid").distinct(), classes, texts, width)
-        found, pairs = _by_hubs(work, part, sets, num, den)
-        pairs = work.write(pairs, "pairsh")
-        links = found if links is None else links.union(found)
-        links = links.union(_links(work, "h", pairs, rows, classes, texts, width, t, num, den, sets))
-        labels = connected_components(work, links, "cch_")
-        for name in ("setsh", "deltas", "differences"):
-            work.drop(name)
+        work.drop(held)
+        held = f"open{r}"
+    part, level, sets = open_.where(F.col("m") > 2 * TOGETHER).select("key", "rid", "n", "label"), 0, None  # short lists are settled
+    while level <= DEPTH and part.head(1):
+        if sets is None:
+            sets = _sets_of(work, "h", part.select("rid").distinct(), classes, texts, width)
+        deltas = _deltas(work, f"deltas{level}", part, sets, num, den)
+        hubs = deltas.where("linked").select(F.greatest("rid", "hub").alias("b"), F.least("rid", "hub").alias("a"))
+        labels = _joined(work, labels, hubs, f"cch{level}_")
+        pairs, part = _by_differences(work, str(level), deltas, labels, num, den)
+        if pairs.head(1):
+            found = _links(work, f"h{level}", pairs, rows, classes, texts, width, t, num, den, sets)
+            labels = _joined(work, labels, found, f"ccp{level}_")
+        work.drop(f"deltas{level}", f"pairsh{level}", f"nearh{level}")
+        level += 1
     if labels is None:
         labels = spark.createDataFrame([], "node long, label long")
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "least", F.coalesce("label", "rid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = work.write(named.join(least, "component").select("digest", "component", "component_id"), "named")
+    work.drop("classes", "setsh", held, *[f"common{k}" for k in range(level)])
     out = rows.select("rid", "doc_id", "n", "digest").join(named, "digest", "left")
     return out.select("rid", "doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), work
 
@@ -337,9 +402,10 @@ def keep_one(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5) ->
     """
     work = Workspace(docs.sparkSession, "keep")
     numbered = work.write(docs.withColumn("__row", F.monotonically_increasing_id()), "docs")
-    out, _ = near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), num, den, width)
+    out, found = near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), num, den, width)
     ids = numbered.select("__row", F.col("doc_id").cast("long").alias("id"))
     ranked = out.where("component is not null").join(ids, F.col("doc_id") == F.col("__row")).groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__row")).alias("first"), F.count("*").alias("m"))
     ranked = work.write(ranked.select("component", F.col("first.__row").alias("first"), "m"), "ranked")
-    gone = out.join(ranked.where("m > 1"), "component").where("doc_id <> first").select(F.col("doc_id").alias("__row"))
+    gone = work.write(out.join(ranked.where("m > 1"), "component").where("doc_id <> first").select(F.col("doc_id").alias("__row")), "gone")
+    found.drop("")  # all that the search has written
     return numbered.join(gone, "__row", "left_anti").drop("__row")

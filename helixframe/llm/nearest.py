@@ -198,11 +198,11 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = SAMPL
     n = classes.count()
     picked = np.array([r.v for r in classes.select("v", "h").orderBy("h").limit(sample).collect()], float).reshape(-1, size.n)
     router = fit(picked, k, n)
-    shared = spark.sparkContext.broadcast(pickle.dumps(router))
-    placed = work.write(arrow_map(classes.select("least", "ids", "v"), _route, "least long, ids array<long>, v array<double>, part long", shared, 1), "placed")
+    with work.broadcast(pickle.dumps(router)) as shared:
+        placed = work.write(arrow_map(classes.select("least", "ids", "v"), _route, "least long, ids array<long>, v array<double>, part long", shared, 1), "placed")
+        asked = arrow_map(rows.where(F.col("id") % every == 0).select("q", "v"), _route, "q long, v array<double>, part long", shared, 0)
+        asked = work.write(asked, "asked")
     blocks = {r.part: -(-r["count"] // VECTORS_A_BLOCK) for r in placed.groupBy("part").count().collect()}  # at most MOST_PARTS rows
-    asked = arrow_map(rows.where(F.col("id") % every == 0).select("q", "v"), _route, "q long, v array<double>, part long", shared, 0)
-    asked = work.write(asked, "asked")
     loads = {r.part: -(-r["count"] // QUERIES_A_BLOCK) for r in asked.groupBy("part").count().collect()}
 
     def many(of: dict):

@@ -268,11 +268,11 @@ def opened(work: Workspace, docs: DataFrame, seen: DataFrame) -> DataFrame | Non
     """(rid, cand): what the slots of the seeds' patterns hold; seen is of the first pass, docs has rid and text."""
     seeds = seen.where("k >= 0").select("i", "k", F.explode("w").alias("p")).groupBy("p", "k").agg(F.countDistinct("i").alias("d"), F.count("*").alias("n"))
     support = work.write(seeds.groupBy("p").agg(F.max("d").alias("d"), F.sum("n").alias("n")).where(F.col("d") >= SUPPORT), "support")
-    patterns = [r.p for r in support.select("p").toLocalIterator()]
+    patterns = support.select("p").toArrow()["p"].to_pylist()
     if not patterns:
         return None
     places = arrow_map(docs.select("text"), _count, "p string, places long", patterns).groupBy("p").agg(F.sum("places").alias("places"))
-    patterns = [r.p for r in support.join(places, "p").where(F.col("places") <= OPEN * F.col("n")).select("p").toLocalIterator()]
+    patterns = support.join(places, "p").where(F.col("places") <= OPEN * F.col("n")).select("p").toArrow()["p"].to_pylist()
     if not patterns:
         return None
     return work.write(arrow_map(docs.select("rid", "text"), _slots, f"rid long, cand {CANDIDATES}", patterns), "slots")

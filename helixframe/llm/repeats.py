@@ -285,8 +285,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, most: int = MOST) -> tupl
     copies = work.write(rows.groupBy("digest").agg(F.count("*").alias("copies")), "copies")
     distinct = rows.select("digest", "grams").where("size(grams) > 0").dropDuplicates(["digest"])
     again = work.write(distinct.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "again")
-    keep = spark.sparkContext.broadcast(Bits.slots(again, "gram", bits_for(again.count())).tobytes())
-    found = work.write(arrow_map(docs.select("text"), _contexts, "gram long, cd binary, rel long, ctx binary, doc binary, start long, windows long", length, keep), "found")
+    with work.broadcast(Bits.slots(again, "gram", bits_for(again.count())).tobytes()) as keep:
+        found = work.write(arrow_map(docs.select("text"), _contexts, "gram long, cd binary, rel long, ctx binary, doc binary, start long, windows long", length, keep), "found")
     counted = found.groupBy("gram", "cd").agg(F.count("*").alias("n"), F.max("windows").alias("windows"))
     often = counted.where("n > 1").select("gram", "cd", F.lit(0).cast("long").alias("lo"), (F.col("windows") - 1).alias("hi"))
     contexts = found.where("ctx is not null").select("gram", "cd", "rel", "ctx")
