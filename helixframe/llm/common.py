@@ -142,9 +142,12 @@ def connected_components(work: Workspace, edges: DataFrame, name: str) -> DataFr
     Each round is written to the shared folder. The label is the smallest id of the component. Nodes without
     edges are not returned. Rounds grow with the logarithm of the longest path, not with the number of nodes.
     """
-    cur = work.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}0")
-    mark, k = None, 0
+    cur, k = work.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}0"), 0
     while True:
+        # Done when all are stars: a node above has one edge, and none below.
+        ends = cur.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("low")).union(cur.select("b", F.lit(0), F.lit(1)))
+        if not ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("low").alias("low")).where("up > 1 OR (up = 1 AND low = 1)").head(1):
+            break
         both = cur.union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -153,10 +156,6 @@ def connected_components(work: Workspace, edges: DataFrame, name: str) -> DataFr
         k += 1
         cur = work.write(small, f"{name}{k}")
         work.drop(f"{name}{k - 1}")
-        seen = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            break
-        mark = tuple(seen)
     return cur.select(F.col("a").alias("node"), F.col("b").alias("label")).union(cur.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 

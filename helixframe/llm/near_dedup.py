@@ -6,15 +6,13 @@
 3. Each representative is posted under its (coordinate, value) pairs. Two texts that agree in at least T coordinates
    share one of the first K - T + 1 pairs of any order that all texts use, so only that prefix is posted. The order
    is by how common a pair is, counted in a sketch of fixed size: what many texts share is skipped.
-4. A posting list is cut at random into groups of about TOGETHER, whose pairs are tried; ROUNDS times, each on the lists
-   that still hold different components (of the settings measured, one round of small groups makes the fewest pairs;
-   the components don't depend on it). What is left is joined by its differences from a hub, one member of the list:
-   the hub's own links are exact, and two texts not both linked to it can only be linked if they share some of the
-   shingles in which they differ from it. Those are posted, rarest first, as many as the wanted overlap asks for, and
-   a pair is made only where the rest can still reach that overlap. Components are joined before that, and a difference
-   whose texts are all in one is done; one that more than TOGETHER_BY_DIFFERENCE texts of several components share is a
-   list again, with a hub of its own. So a list of near copies is hardly ever expanded into all its pairs, and no link
-   between two components is lost.
+4. Of a short posting list (SHORT at most) all pairs are tried. A longer one is joined by its differences from a hub, one
+   member of the list: the hub's own links are exact, and two texts not both linked to it can only be linked if they share
+   some of the shingles in which they differ from it. Those are posted, rarest first, as many as the wanted overlap asks
+   for, and a pair is made only where the rest can still reach that overlap. Components are joined before that, and a
+   difference whose texts are all in one is done; one that more than TOGETHER texts of several components share is a list
+   again, with a hub of its own. So a list of near copies is hardly ever expanded into all its pairs, and no link between
+   two components is lost.
 5. Collisions are counted on byte-wide signatures (never fewer than the true count); pairs at or above T are
    confirmed on the full shingle sets.
 
@@ -43,12 +41,11 @@ from helixframe.llm.textcore import U, mix, shingle_hashes
 COORDINATES = 128
 MOST_SLOTS = 1 << 22
 BLOCK = 1 << 13
-TOGETHER = 2
-ROUNDS = 1
+SHORT = 4
 #: A key with more texts than this by the sketch is common: its rows are not dealt out by the key alone.
 COMMON = 1_000
 #: A difference with more texts than this becomes a list with a hub of its own, so many levels deep at most.
-TOGETHER_BY_DIFFERENCE = 64
+TOGETHER = 4_096
 DEPTH = 4
 CHUNK = 1 << 20
 _FACTORS = np.random.default_rng(4).integers(0, 1 << 32, 2048, dtype=np.uint32) | np.uint32(1)
@@ -84,6 +81,17 @@ def slots_for(rows: int) -> int:
     return 1 << min(MOST_SLOTS.bit_length() - 1, max(BLOCK.bit_length() - 1, (16 * max(rows, 1)).bit_length()))
 
 
+def level(counts: np.ndarray) -> np.ndarray:
+    """Counts in a byte each, eight steps for each doubling: the order of unlike counts stays."""
+    return np.minimum(255, 8 * np.log2(1.0 + counts)).astype(np.uint8)
+
+
+def rarity(sketch: bytes, keys: np.ndarray) -> np.ndarray:
+    """Keys in the order of their counts, then of their hashes."""
+    counts = np.frombuffer(sketch, np.uint8)
+    return (counts[sketch_slot(keys, len(counts))].astype(U) << U(56)) | (keys >> U(8))
+
+
 def sketch_slot(keys: np.ndarray, slots: int) -> np.ndarray:
     return (keys >> U(40)).astype(np.int64) & (slots - 1)
 
@@ -147,27 +155,27 @@ def _add_up(part: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(BLOCK, np.uint32)
     for at, x in zip(part["at"], part["counts"], strict=True):
         total[np.frombuffer(at, np.uint16)] += np.frombuffer(x, np.uint32)
-    return pd.DataFrame({"block": part["block"].iloc[:1], "counts": [total.tobytes()]})
+    return pd.DataFrame({"block": part["block"].iloc[:1], "counts": [level(total).tobytes()]})
 
 
 def _sketch(df: DataFrame, keys_of, slots: int) -> bytes:
     counts = arrow_map(df, _counted, "block long, at binary, counts binary", keys_of, slots).groupBy("block").applyInPandas(_add_up, "block long, counts binary")
-    sketch = np.zeros((slots // BLOCK, BLOCK), np.uint32)
+    sketch = np.zeros((slots // BLOCK, BLOCK), np.uint8)
     found = counts.toArrow()  # one row for each block
     for block, x in zip(found["block"].to_pylist(), found["counts"].to_pylist(), strict=True):
-        sketch[block] = np.frombuffer(x, np.uint32)
+        sketch[block] = np.frombuffer(x, np.uint8)
     return sketch.tobytes()
 
 
 def _post(sketch, prefix: int, common: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.frombuffer(sketch.value, np.uint32)
+    edge = U(int(level(np.array(float(common)))))
     for batch in batches:
         keys = pair_keys(np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES))
-        rare = (counts[sketch_slot(keys, len(counts))].astype(U) << U(24)) | (keys >> U(40))  # by count, then by hash
+        rare = rarity(sketch.value, keys)
         order = np.argpartition(rare, prefix - 1, axis=1)[:, :prefix]
         rid = np.repeat(batch.column("rid").to_numpy(zero_copy_only=False), prefix)
         n = np.repeat(batch.column("n").to_numpy(zero_copy_only=False), prefix)
-        keys, often = np.take_along_axis(keys, order, axis=1).ravel(), np.take_along_axis(rare, order, axis=1).ravel() >> U(24) > U(common)
+        keys, often = np.take_along_axis(keys, order, axis=1).ravel(), np.take_along_axis(rare, order, axis=1).ravel() >> U(56) > edge
         yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "rid": pa.array(rid, pa.int64()), "n": pa.array(n, pa.int64()), "common": pa.array(often)})
 
 
@@ -230,7 +238,6 @@ def _post_differences(sketch, num: int, den: int, batches: Iterable[pa.RecordBat
     for the other. A text linked to the hub needs a partner that isn't, so d' > c * (n' + hub's n) for c =
     (den - num) / (den + num). At least one is shared if not both are linked to the hub.
     """
-    counts = np.frombuffer(sketch.value, np.uint32)
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("rid", "n", "hn", "linked", "delta")]
         out: dict[str, list[np.ndarray]] = {c: [] for c in ("key", "rid", "n", "d", "at", "linked", "small")}
@@ -240,8 +247,7 @@ def _post_differences(sketch, num: int, den: int, batches: Iterable[pa.RecordBat
             least = max(1, (d * (den + num) + (den - num) * (hn - n)) // (2 * (den + num)) + 1) if linked else 1
             small = d - max(least, -(-(2 * d - far) // 2)) + 1
             take = max(small, d - max(least, d - far) + 1, 0)
-            rare = (counts[sketch_slot(keys, len(counts))].astype(U) << U(24)) | (keys >> U(40))
-            keys = keys[np.lexsort((keys, rare))[:take]]
+            keys = keys[np.lexsort((keys, rarity(sketch.value, keys)))[:take]]
             k = len(keys)
             out["key"].append(keys.view(np.int64))
             out["at"].append(np.arange(k))
@@ -274,7 +280,7 @@ def _deltas(work: Workspace, name: str, part: DataFrame, sets: DataFrame, num: i
     return work.write(arrow_map(near, _differences, "rid long, hub long, n long, hn long, linked boolean, delta binary", num, den), name)
 
 
-def _by_differences(work: Workspace, name: str, deltas: DataFrame, labels: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def _by_differences(work: Workspace, step: int, deltas: DataFrame, labels: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Pairs that may be linked besides the hubs' links, and the lists of differences that too many texts share.
 
     A difference whose texts are all in one component is done.
@@ -282,43 +288,41 @@ def _by_differences(work: Workspace, name: str, deltas: DataFrame, labels: DataF
     slots = slots_for(deltas.count() * 8)
     with work.broadcast(_sketch(deltas.select("delta"), _difference_keys, slots)) as sketch:
         posted = arrow_map(deltas, _post_differences, "key long, rid long, n long, d long, at long, linked boolean, small boolean", sketch, num, den)
-        posted = work.write(_named(labels, posted), f"differences{name}")
+        posted = work.write(_named(labels, posted), f"differences{step}")
     lists = posted.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("m > 1 AND lo <> hi").select("key", "m")
-    shared = work.write(posted.join(lists, "key"), f"common{name}")
-    work.drop(f"differences{name}")
-    few = shared.where(F.col("m") <= TOGETHER_BY_DIFFERENCE) if int(name) < DEPTH else shared
+    shared = work.write(posted.join(lists, "key"), f"common{step}")
+    work.drop(f"differences{step}")
+    few = shared.where(F.col("m") <= TOGETHER) if step < DEPTH else shared
     x, y = (few.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("rid", "label", "n", "d", "at", "linked", "small")]) for k in ("a", "b"))
     order = "(da < db OR (da = db AND rida < ridb)) AND labela <> labelb AND NOT (linkeda AND linkedb)"
     alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb) AND (db - da) * {den + num} <= {den - num} * (na + nb)"
     reach = f"2 * least(da - ata, db - atb) * {den + num} >= (da + db) * {den + num} - {den - num} * (na + nb)"
     pairs = x.where("smalla").join(y, "key").where(f"{order} AND {alike} AND {reach}")
-    pairs = work.write(pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct(), f"pairsh{name}")
-    return pairs, shared.where(F.col("m") > TOGETHER_BY_DIFFERENCE).select("key", "rid", "n", "label")
+    pairs = pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct()
+    return pairs, shared.where(F.col("m") > TOGETHER).select("key", "rid", "n")
 
 
-def _sets_of(work: Workspace, name: str, rids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _sets_of(work: Workspace, rids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(rid, sh): full sets of these representatives, made anew from the texts; only those are shuffled."""
-    flagged = work.write(classes.join(rids, "rid", "left_semi").select("digest", "rid"), f"flagged{name}")
+    flagged = work.write(classes.join(rids, "rid", "left_semi").select("digest", "rid"), "flagged")
     with work.broadcast(digest_slots(flagged, "digest").tobytes()) as keep:
         sets = arrow_map(docs, _sets, "digest binary, sh binary", width, keep)
-        return work.write(sets.join(flagged, "digest").dropDuplicates(["digest"]).select("rid", "sh"), f"sets{name}")
+        return work.write(sets.join(flagged, "digest").dropDuplicates(["digest"]).select("rid", "sh"), "sets")
 
 
-def _links(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, classes: DataFrame, docs: DataFrame, width: int, least: int, num: int, den: int, sets: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of representatives that pass the collision count, then the exact similarity.
+def _beside(pairs: DataFrame, right: DataFrame, column: str, names: tuple[str, str]) -> DataFrame:
+    for at, other in zip(("a", "b"), names, strict=True):
+        pairs = pairs.join(right.select(F.col("rid").alias(at), F.col(column).alias(other)), at)
+    return pairs
 
-    Without `sets`, full sets are made anew for the texts in pairs that pass the count.
-    """
 
-    def beside(p: DataFrame, right: DataFrame, col: str, names: tuple[str, str]) -> DataFrame:
-        for at, other in zip(("a", "b"), names, strict=True):
-            p = p.join(right.select(F.col("rid").alias(at), F.col(col).alias(other)), at)
-        return p
+def _near(work: Workspace, name: str, pairs: DataFrame, rows: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of representatives that agree in enough coordinates."""
+    return work.write(arrow_map(_beside(pairs, rows, "short", ("sa", "sb")), _colliding, "a long, b long", least), name)
+
 
-    near = work.write(arrow_map(beside(pairs, rows, "short", ("sa", "sb")), _colliding, "a long, b long", least), f"near{name}")
-    if sets is None:
-        sets = _sets_of(work, name, near.select(F.col("a").alias("rid")).union(near.select("b")).distinct(), classes, docs, width)
-    return work.write(arrow_map(beside(near, sets, "sh", ("ha", "hb")), _confirm, "a long, b long", num, den), f"links{name}")
+def _confirmed(work: Workspace, name: str, near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    return work.write(arrow_map(_beside(near, sets, "sh", ("ha", "hb")), _confirm, "a long, b long", num, den), name)
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5, coordinates: int = COORDINATES) -> tuple[DataFrame, Workspace]:
@@ -347,45 +351,31 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
 
     # Rare keys are dealt out once, for count and join; common ones are counted before the shuffle, and their join can be split.
     rare = posted.where("NOT common").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
-    open_ = work.write(with_size(rare).union(with_size(posted.where("common"))).withColumn("label", F.col("rid")), "shared")
+    shared = work.write(with_size(rare).union(with_size(posted.where("common"))), "shared")
     work.drop("posted")
-    texts, labels, held = docs.select("text"), None, "shared"
-    for r in range(ROUNDS):
-        # Small groups of each list, other ones each round; a short list is one group.
-        by = F.when(F.col("m") <= 2 * TOGETHER, F.lit(0)).otherwise(F.pmod(F.xxhash64("rid", "key", F.lit(r)), F.ceil(F.col("m") / TOGETHER)))
-        part = open_.withColumn("g", by.cast("long"))
-        x, y = (part.select("key", "g", F.col("rid").alias(k), F.col("label").alias(f"l{k}"), F.col("n").alias(f"n{k}")) for k in ("a", "b"))
-        alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb)"  # sets of other sizes can't be similar enough
-        pairs = work.write(x.join(y, ["key", "g"]).where(f"a < b and la <> lb and {alike}").select("a", "b").distinct(), f"pairs{r}")
-        if not pairs.head(1):
-            continue
-        found = _links(work, str(r), pairs, rows, classes, texts, width, t, num, den)
-        work.drop(f"sets{r}", f"pairs{r}", f"near{r}")
-        labels = _joined(work, labels, found, f"cc{r}_")
-        open_ = _named(labels, open_)
-        split = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        open_ = work.write(open_.join(split, "key", "left_semi"), f"open{r}")
-        work.drop(held)
-        held = f"open{r}"
-    part, level, sets = open_.where(F.col("m") > 2 * TOGETHER).select("key", "rid", "n", "label"), 0, None  # short lists are settled
-    while level <= DEPTH and part.head(1):
-        if sets is None:
-            sets = _sets_of(work, "h", part.select("rid").distinct(), classes, texts, width)
-        deltas = _deltas(work, f"deltas{level}", part, sets, num, den)
-        hubs = deltas.where("linked").select(F.greatest("rid", "hub").alias("b"), F.least("rid", "hub").alias("a"))
-        labels = _joined(work, labels, hubs, f"cch{level}_")
-        pairs, part = _by_differences(work, str(level), deltas, labels, num, den)
-        if pairs.head(1):
-            found = _links(work, f"h{level}", pairs, rows, classes, texts, width, t, num, den, sets)
-            labels = _joined(work, labels, found, f"ccp{level}_")
-        work.drop(f"deltas{level}", f"pairsh{level}", f"nearh{level}")
-        level += 1
+    x, y = (shared.where(F.col("m") <= SHORT).select("key", F.col("rid").alias(k), F.col("n").alias(f"n{k}")) for k in ("a", "b"))
+    alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb)"  # sets of other sizes can't be similar enough
+    near = _near(work, "near", x.join(y, "key").where(f"a < b AND {alike}").select("a", "b").distinct(), rows, t)
+    part, step, labels = shared.where(F.col("m") > SHORT).select("key", "rid", "n"), 0, None
+    wanted = part.select("rid").union(near.select("a")).union(near.select("b")).distinct()
+    sets = _sets_of(work, wanted, classes, docs.select("text"), width)
+    links = _confirmed(work, "links", near, sets, num, den)
+    while step <= DEPTH and part.head(1):
+        deltas = _deltas(work, f"deltas{step}", part, sets, num, den)
+        links = links.union(deltas.where("linked").select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")))
+        labels = _joined(work, labels, links, f"cc{step}_")
+        pairs, part = _by_differences(work, step, deltas, labels, num, den)
+        links = _confirmed(work, f"links{step}", _near(work, f"near{step}", pairs, rows, t), sets, num, den)
+        work.drop(f"deltas{step}", f"near{step}")
+        step += 1
+    if links.head(1):
+        labels = _joined(work, labels, links, "cc_")
     if labels is None:
         labels = spark.createDataFrame([], "node long, label long")
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "least", F.coalesce("label", "rid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = work.write(named.join(least, "component").select("digest", "component", "component_id"), "named")
-    work.drop("classes", "setsh", held, *[f"common{k}" for k in range(level)])
+    work.drop("classes", "sets", "near", "shared", "links", *[f"{x}{k}" for k in range(step) for x in ("common", "links")])
     out = rows.select("rid", "doc_id", "n", "digest").join(named, "digest", "left")
     return out.select("rid", "doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), work
 

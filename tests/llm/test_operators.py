@@ -182,11 +182,11 @@ def test_nearest(spark):
     assert nearest.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-@pytest.mark.parametrize(("num", "seed"), [(85, 1), (80, 2)])
-def test_large_group_around_the_threshold_equals_brute_force(spark, monkeypatch, num, seed):
-    """All lists go to the hub step: no random rounds, no short lists."""
-    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
-    monkeypatch.setattr(near_dedup, "TOGETHER", 1)
+@pytest.mark.parametrize(("num", "seed", "together"), [(85, 1, 4096), (80, 2, 4096), (85, 3, 2)])
+def test_large_group_around_the_threshold_equals_brute_force(spark, monkeypatch, num, seed, together):
+    """All lists go to the hub step, and with few texts together to hubs of their differences."""
+    monkeypatch.setattr(near_dedup, "SHORT", 1)
+    monkeypatch.setattr(near_dedup, "TOGETHER", together)
     r = random.Random(seed)
     base = [f"w{i}" for i in range(120)]
     texts = []
