@@ -9,10 +9,10 @@
 4. Of a short posting list (SHORT at most) all pairs are tried. A longer one is joined by its differences from a hub, one
    member of the list: the hub's own links are exact, and two texts not both linked to it can only be linked if they share
    some of the shingles in which they differ from it. Those are posted, rarest first, as many as the wanted overlap asks
-   for, and a pair is made only where the rest can still reach that overlap. Components are joined before that, and a
-   difference whose texts are all in one is done; one that more than TOGETHER texts of several components share is a list
-   again, with a hub of its own. So a list of near copies is hardly ever expanded into all its pairs, and no link between
-   two components is lost.
+   for, and a pair is made only where the rest can still reach that overlap. Components are joined before that, and once
+   more before differences that many texts share; a difference whose texts are all in one component is done, and one that
+   more than TOGETHER texts of several components share is a list again, with a hub of its own. So a list of near copies
+   is hardly ever expanded into all its pairs, and no link between two components is lost.
 5. Collisions are counted on byte-wide signatures (never fewer than the true count); pairs at or above T are
    confirmed on the full shingle sets.
 
@@ -44,7 +44,9 @@ BLOCK = 1 << 13
 SHORT = 4
 #: A key with more texts than this by the sketch is common: its rows are not dealt out by the key alone.
 COMMON = 1_000
-#: A difference with more texts than this becomes a list with a hub of its own, so many levels deep at most.
+#: Differences with up to FEW texts are tried first; one with more than TOGETHER becomes a list with a hub of its own, so many
+#: levels deep at most.
+FEW = 64
 TOGETHER = 4_096
 DEPTH = 4
 CHUNK = 1 << 20
@@ -280,26 +282,30 @@ def _deltas(work: Workspace, name: str, part: DataFrame, sets: DataFrame, num: i
     return work.write(arrow_map(near, _differences, "rid long, hub long, n long, hn long, linked boolean, delta binary", num, den), name)
 
 
-def _by_differences(work: Workspace, step: int, deltas: DataFrame, labels: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs that may be linked besides the hubs' links, and the lists of differences that too many texts share.
-
-    A difference whose texts are all in one component is done.
-    """
+def _shared_differences(work: Workspace, name: str, deltas: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (key, m, label, ...) of the differences that texts of several components share; m texts share this one."""
     slots = slots_for(deltas.count() * 8)
     with work.broadcast(_sketch(deltas.select("delta"), _difference_keys, slots)) as sketch:
         posted = arrow_map(deltas, _post_differences, "key long, rid long, n long, d long, at long, linked boolean, small boolean", sketch, num, den)
-        posted = work.write(_named(labels, posted), f"differences{step}")
-    lists = posted.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("m > 1 AND lo <> hi").select("key", "m")
-    shared = work.write(posted.join(lists, "key"), f"common{step}")
-    work.drop(f"differences{step}")
-    few = shared.where(F.col("m") <= TOGETHER) if step < DEPTH else shared
-    x, y = (few.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("rid", "label", "n", "d", "at", "linked", "small")]) for k in ("a", "b"))
+        posted = work.write(posted, "differences")
+    return work.write(_mixed(posted, labels), name)
+
+
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of keys whose texts are not all in one component, with the number of texts."""
+    rows = _named(labels, rows.drop("m"))
+    keys = rows.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", "m")
+    return rows.join(keys, "key")
+
+
+def _pairs_by_differences(shared: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that may be linked besides the hubs' links."""
+    x, y = (shared.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("rid", "label", "n", "d", "at", "linked", "small")]) for k in ("a", "b"))
     order = "(da < db OR (da = db AND rida < ridb)) AND labela <> labelb AND NOT (linkeda AND linkedb)"
     alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb) AND (db - da) * {den + num} <= {den - num} * (na + nb)"
     reach = f"2 * least(da - ata, db - atb) * {den + num} >= (da + db) * {den + num} - {den - num} * (na + nb)"
     pairs = x.where("smalla").join(y, "key").where(f"{order} AND {alike} AND {reach}")
-    pairs = pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct()
-    return pairs, shared.where(F.col("m") > TOGETHER).select("key", "rid", "n")
+    return pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct()
 
 
 def _sets_of(work: Workspace, rids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -364,9 +370,18 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
         deltas = _deltas(work, f"deltas{step}", part, sets, num, den)
         links = links.union(deltas.where("linked").select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")))
         labels = _joined(work, labels, links, f"cc{step}_")
-        pairs, part = _by_differences(work, step, deltas, labels, num, den)
-        links = _confirmed(work, f"links{step}", _near(work, f"near{step}", pairs, rows, t), sets, num, den)
-        work.drop(f"deltas{step}", f"near{step}")
+        shared = _shared_differences(work, f"common{step}", deltas, labels, num, den)
+        last = step == DEPTH
+        # Few texts first: what they link is done when many texts are compared.
+        pairs = _pairs_by_differences(shared.where(F.col("m") <= FEW), num, den)
+        links = _confirmed(work, f"few{step}", _near(work, f"nearfew{step}", pairs, rows, t), sets, num, den)
+        many = shared.where(F.col("m") > FEW)
+        part = many.where("false" if last else F.col("m") > TOGETHER).select("key", "rid", "n")
+        if many.head(1):
+            labels = _joined(work, labels, links, f"ccfew{step}_")
+            pairs = _pairs_by_differences(_mixed(many.where("true" if last else F.col("m") <= TOGETHER), labels), num, den)
+            links = _confirmed(work, f"many{step}", _near(work, f"nearmany{step}", pairs, rows, t), sets, num, den)
+        work.drop("differences", f"deltas{step}", f"nearfew{step}", f"nearmany{step}")
         step += 1
     if links.head(1):
         labels = _joined(work, labels, links, "cc_")
@@ -375,7 +390,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "least", F.coalesce("label", "rid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = work.write(named.join(least, "component").select("digest", "component", "component_id"), "named")
-    work.drop("classes", "sets", "near", "shared", "links", *[f"{x}{k}" for k in range(step) for x in ("common", "links")])
+    work.drop("classes", "sets", "near", "shared", "links", *[f"{x}{k}" for k in range(step) for x in ("common", "few", "many")])
     out = rows.select("rid", "doc_id", "n", "digest").join(named, "digest", "left")
     return out.select("rid", "doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), work
 

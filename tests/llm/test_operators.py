@@ -187,6 +187,7 @@ def test_large_group_around_the_threshold_equals_brute_force(spark, monkeypatch,
     """All lists go to the hub step, and with few texts together to hubs of their differences."""
     monkeypatch.setattr(near_dedup, "SHORT", 1)
     monkeypatch.setattr(near_dedup, "TOGETHER", together)
+    monkeypatch.setattr(near_dedup, "FEW", min(together, 8))
     r = random.Random(seed)
     base = [f"w{i}" for i in range(120)]
     texts = []
