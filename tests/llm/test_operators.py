@@ -79,7 +79,7 @@ def test_exact_index_appends(spark, tmp_path):
     assert [r.digest for r in index.unseen(b).collect()] == ["z"]
     index.add(b)
     assert sorted((r.digest, r.keep_id) for r in index.table().collect()) == [("x", 1), ("y", 2), ("z", 4)]
-    spark.sql(f"DROP TABLE {index.name}")
+    index.close()
 
 
 def test_bpe_and_packing(spark, docs):
