@@ -4,6 +4,10 @@ Offline, every vocabulary string that can end a word is encoded alone; those tha
 whole tokens. A pre-token among them counts as one without any merging; only the others are merged (by the segment tree
 of bpe.py), and their counts are cached for the life of the Python worker.
 
+Normalisation and the classes of letters and numbers follow the Unicode version that a library was built with. Texts of
+characters whose properties are the same in all of them (STABLE) are normalised and cut here; a text with any other
+goes through the tokenizer file's own normalizer and pre-tokenizer, whose words are then counted in the same way.
+
 Null texts count as empty. Special strings inside texts count as one token each, the library's default. Extra columns
 play no part.
 """
@@ -12,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -20,11 +23,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.bpe import LONGEST_CACHED, SPACE, WORD_CACHE, Bpe, _shared, engine
+from helixframe.llm.bpe import LONGEST_CACHED, SPACE, WORD_CACHE, Bpe, _shared, byte_characters, engine
 from helixframe.llm.common import arrow_map, texts_of
 
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
 
+#: Latin letters without combining marks, general punctuation, Cyrillic, kana, unified ideographs, Hangul syllables: composed
+#: already, and of settled case and class.
+STABLE = "\\x00-\u02ff\u0400-\u045f\u2010-\u2027\u2030-\u205e\u20ac\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+
 
 def whole_tokens(bpe: Bpe) -> dict[str, int]:
     """Pre-tokens that are proven to encode alone as one token, with their count of 1."""
@@ -45,12 +52,22 @@ def lowered(text: str) -> str:
 
 
 class Counter:
-    def __init__(self, bpe: Bpe):
+    def __init__(self, bpe: Bpe, content: str):
+        from tokenizers import Tokenizer
+
         self.bpe, self.find = bpe, regex.compile(WORDS).findall
+        self.unstable, self.library = re.compile(f"[^{STABLE}]").search, Tokenizer.from_str(content)
+        self.byte = str.maketrans({c: chr(b) for b, c in enumerate(byte_characters())})
         self.whole = whole_tokens(bpe)
         self.rest: dict[str, int] = dict(self.whole)
         self.cut = re.compile("|".join(map(re.escape, sorted(bpe.special, key=len, reverse=True))))
 
+    def words(self, text: str) -> list[str]:
+        if text.isascii() or not self.unstable(text):
+            return self.find(lowered(text))
+        cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [w.translate(self.byte).encode("latin-1").decode() for w, _ in cut]
+
     def counts(self, texts: list[str]) -> list[int]:
         split, extra = [], []
         for x in texts:
@@ -60,7 +77,7 @@ class Counter:
             extra.append(len(parts) - 1)
             words: list[str] = []
             for p in parts:
-                words += self.find(lowered(p if p.isascii() else unicodedata.normalize("NFC", p)))
+                words += self.words(p)
             split.append(words)
         known = self.rest
         words = set().union(*split) if split else set()
@@ -83,7 +100,7 @@ _counters: dict[str, Counter] = {}
 def counter(content: str) -> Counter:
     key = hashlib.md5(content.encode()).hexdigest()
     if key not in _counters:
-        _counters[key] = Counter(engine(content))
+        _counters[key] = Counter(engine(content), content)
     return _counters[key]
 
 
