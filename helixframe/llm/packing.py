@@ -1,14 +1,15 @@
 """Packing by power-of-two decomposition.
 
 A document's ids, with the end id, are cut into pieces whose lengths are the powers of two of its length in binary,
-longest first, at most `longest`. Each piece is a sequence of its own and needs no padding; none crosses documents. Rows come
-in document order: bucketing by the column length is left to the reader, or to `write_buckets`, which no query or stage calls.
+longest first, at most `longest`. Each piece is a sequence of its own and needs no padding; none crosses documents.
+Equal lengths are one bucket: a sequence's id is its bucket (the length's power of two, times 2**48) and its number
+there, from 0 without gaps, and rows come by bucket within each partition, so that a reader takes whole batches of one length.
 
 Ids come from the ranks of the same byte-level vocabulary through tiktoken, which gives the ids of the tokenizers file
 (tested); special strings inside texts become their id, the tokenizers library's default.
 
-Null texts count as empty and give the end id alone. Sequence ids are unique in a run: partition number, then a counter;
-a task that runs again over the same files gives the same ids. Extra columns play no part.
+Null texts count as empty and give the end id alone. Numbers follow the tasks that made the pieces, which are written first.
+Extra columns play no part.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.llm.bpe import BYTE_LEVEL, _shared, byte_characters
-from helixframe.llm.common import arrow_map, texts_of
+from helixframe.llm.common import Workspace, arrow_map, texts_of
 
 END = 0
+BUCKET = 48
 _encodings: dict = {}
 
 
@@ -67,7 +69,7 @@ def pieces(n: int, longest: int) -> list[tuple[int, int]]:
 
 def _pack(content, longest: int, with_ids: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     enc, ids_of, special = encoding(content.value)
-    sequence = TaskContext.get().partitionId() << 40
+    task, made = TaskContext.get().partitionId(), np.zeros(64, np.int64)
     for batch in batches:
         doc, start, length, crc, total, tokens = [], [], [], [], [], []
         for i, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
@@ -83,13 +85,18 @@ def _pack(content, longest: int, with_ids: bool, batches: Iterable[pa.RecordBatc
                 total.append(len(ids))
             tokens.append(ids)
         out = {k: pa.array(v, pa.int64()) for k, v in (("doc_id", doc), ("start", start), ("length", length), ("ids_crc32", crc), ("doc_tokens", total))}
-        out["sequence_id"] = pa.array(np.arange(sequence, sequence + len(doc), dtype=np.int64))
-        out["offset"] = pa.array(np.zeros(len(doc), np.int64))
+        power = np.array([n.bit_length() - 1 for n in length], np.int64)
+        number = np.empty(len(power), np.int64)
+        for k in np.unique(power):
+            at = np.flatnonzero(power == k)
+            number[at] = made[k] + np.arange(len(at))
+            made[k] += len(at)
+        out["bucket"], out["number"] = pa.array(power), pa.array(number)
+        out["task"] = pa.array(np.full(len(power), task, np.int64))
         if with_ids:
             flat = np.concatenate(tokens) if tokens else np.zeros(0, "<u4")
             at = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
             out["ids"] = pa.ListArray.from_arrays(pa.array(at), pa.array(flat.astype(np.int32)))
-        sequence += len(doc)
         yield pa.RecordBatch.from_pydict(out)
 
 
@@ -97,8 +104,16 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 1024, with_ids: bool =
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids."""
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), _pack, schema, _shared(docs, tokenizer), longest, with_ids)
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bucket long, number long, task long" + ", ids array<int>" * with_ids
+    work = Workspace(docs.sparkSession, "packing")
+    made = work.write(arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), _pack, schema, _shared(docs, tokenizer), longest, with_ids), "pieces")
+    # A row for each task and bucket: where the task's numbers begin in the bucket.
+    sizes = made.groupBy("task", "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("bucket").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    first = work.write(sizes.select("task", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "first")
+    out = made.join(first, ["task", "bucket"]).sortWithinPartitions("bucket", "task", "number")
+    ident = F.shiftleft("bucket", BUCKET) + F.col("first") + F.col("number")
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", ident.alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *["ids"] * with_ids)
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:
