@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Workspace, shared_root
+from helixframe.llm.common import Workspace, _remove, shared_root
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 #: The rows of a table come to the index in so many batches: from the second on, what is held is found by the anti-join.
@@ -73,12 +73,16 @@ class DigestIndex:
 
     def add(self, digests: DataFrame) -> None:
         """Appends unseen digests, and for those that are held a row with the copies of this batch and no first id."""
-        new = self.groups(digests)
+        batch = f"{self.path}/_batch"
+        # Written, so that the joins don't move below the aggregation, where they would shuffle every copy.
+        self.groups(digests).write.mode("overwrite").parquet(batch)
+        new = self.spark.read.schema(self.SCHEMA).parquet(batch)
         again = new.hint("merge").join(self.rows().select("digest").hint("merge"), "digest", "left_semi")
         out = self.unseen(new).union(again.withColumn("keep_id", F.lit(None).cast("long")))
         out = out.select("digest", "keep_id", "least", "group_size").repartition(self.buckets, "digest").sortWithinPartitions("digest")
         out.write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
+        _remove(self.spark, batch)
 
 
 def _indexed(work: Workspace, digests: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def test_another_session_opens_the_index_by_its_path(spark, tmp_path):
 def test_the_anti_join_does_not_shuffle_the_index(spark, tmp_path):
     index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index")
     index.add(spark.createDataFrame([("x", 1)], "digest string, doc_id long"))
-    new = index.groups(spark.createDataFrame([("x", 3), ("y", 4)], "digest string, doc_id long"))
+    new = spark.createDataFrame([("x", 3), ("y", 4)], "digest string, doc_id long")
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
         index.unseen(new).explain()
