@@ -304,7 +304,7 @@ def _pairs_by_differences(shared: DataFrame, num: int, den: int) -> DataFrame:
     order = "(da < db OR (da = db AND rida < ridb)) AND labela <> labelb AND NOT (linkeda AND linkedb)"
     alike = f"{den} * least(na, nb) >= {num} * greatest(na, nb) AND (db - da) * {den + num} <= {den - num} * (na + nb)"
     reach = f"2 * least(da - ata, db - atb) * {den + num} >= (da + db) * {den + num} - {den - num} * (na + nb)"
-    pairs = x.where("smalla").join(y, "key").where(f"{order} AND {alike} AND {reach}")
+    pairs = x.where("smalla").hint("merge").join(y, "key").where(f"{order} AND {alike} AND {reach}")
     return pairs.select(F.least("rida", "ridb").alias("a"), F.greatest("rida", "ridb").alias("b")).distinct()
 
 
@@ -379,7 +379,8 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
         part = many.where("false" if last else F.col("m") > TOGETHER).select("key", "rid", "n")
         if many.head(1):
             labels = _joined(work, labels, links, f"ccfew{step}_")
-            pairs = _pairs_by_differences(_mixed(many.where("true" if last else F.col("m") <= TOGETHER), labels), num, den)
+            mixed = work.write(_mixed(many.where("true" if last else F.col("m") <= TOGETHER), labels), f"mixed{step}")
+            pairs = _pairs_by_differences(mixed, num, den)
             links = _confirmed(work, f"many{step}", _near(work, f"nearmany{step}", pairs, rows, t), sets, num, den)
         work.drop("differences", f"deltas{step}", f"nearfew{step}", f"nearmany{step}")
         step += 1
@@ -390,7 +391,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, width: int =
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "least", F.coalesce("label", "rid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = work.write(named.join(least, "component").select("digest", "component", "component_id"), "named")
-    work.drop("classes", "sets", "near", "shared", "links", *[f"{x}{k}" for k in range(step) for x in ("common", "few", "many")])
+    work.drop("classes", "sets", "near", "shared", "links", *[f"{x}{k}" for k in range(step) for x in ("common", "few", "many", "mixed")])
     out = rows.select("rid", "doc_id", "n", "digest").join(named, "digest", "left")
     return out.select("rid", "doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), work
 
