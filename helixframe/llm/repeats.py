@@ -81,12 +81,32 @@ def _digests(raw: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     return [hashlib.sha256(view[a:b]).digest() for a, b in zip(o, o[1:], strict=False)]
 
 
+def segments(part: np.ndarray, off: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets, place in the row): a row of more than two chunks comes in pieces that have each window once."""
+    if len(off) != 2 or len(part) <= 2 * CHUNK:
+        yield part, off, 0
+        return
+    for k in range(0, len(part) - length + 1, CHUNK):
+        piece = part[k : k + CHUNK + length - 1]
+        yield piece, np.array([0, len(piece)], np.int64), k
+
+
+def twice_at_most(row: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, gram) in order, with two of those that a row has more often: that a gram is repeated shows from two."""
+    order = np.lexsort((gram, row))
+    row, gram = row[order], gram[order]
+    third = np.zeros(len(row), bool)
+    third[2:] = (row[2:] == row[:-2]) & (gram[2:] == gram[:-2])
+    return row[~third], gram[~third]
+
+
 def _profile(length: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = flat(batch)
         for lo, hi in chunks_by_bytes(offsets, CHUNK):
             part, off = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-            row, gram, *_ = anchors(part, off, length)
+            found = [twice_at_most(*anchors(p, o, length)[:2]) for p, o, _ in segments(part, off, length)]
+            row, gram = twice_at_most(np.concatenate([r for r, _ in found]), np.concatenate([g for _, g in found]))
             grams = np.split(gram.view(np.int64), np.searchsorted(row, np.arange(1, hi - lo)))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -99,17 +119,38 @@ def _profile(length: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def _contexts(length: int, keep, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """An occurrence for each anchor in `keep`; the bytes of a context only the first time in a task, each text once."""
+    """An occurrence for each anchor in `keep`; the bytes of a context only the first time in a task, each text once.
+
+    Contexts that follow each other and are equal, as in a run of one character, are one row with their number in `times`.
+    """
     bits = Bits(np.frombuffer(keep.value, np.uint64))
     docs, seen = set(), set()
+    kinds = {"gram": pa.int64(), "cd": pa.binary(), "rel": pa.int64(), "ctx": pa.binary(), "doc": pa.binary(), "start": pa.int64(), "windows": pa.int64(), "times": pa.int64()}
+
+    def of(part: np.ndarray, off: np.ndarray, base: int, digests: list[bytes], fresh: np.ndarray) -> pa.RecordBatch | None:
+        row, gram, place, first, last = anchors(part, off, length)
+        hit = bits.has(gram) & fresh[row]
+        if not hit.any():
+            return None
+        out: dict[str, list] = {k: [] for k in kinds}
+        view, before, end = memoryview(np.ascontiguousarray(part)), b"", -1
+        columns = (row[hit].tolist(), gram[hit].view(np.int64).tolist(), place[hit].tolist(), first[hit].tolist(), last[hit].tolist())
+        for r, g, a, s, e in zip(*columns, strict=True):
+            ctx = view[s : e + length]
+            cd = xxhash.xxh3_128_digest(ctx, a - s)
+            if cd == before and s == end and g == out["gram"][-1] and digests[r] == out["doc"][-1]:
+                out["times"][-1] += 1
+            else:
+                for k, v in zip(kinds, (g, cd, a - s, None if cd in seen else bytes(ctx), digests[r], s - int(off[r]) + base, e - s + 1, 1), strict=True):
+                    out[k].append(v)
+                seen.add(cd)
+            before, end = cd, e + 1
+        return pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
+
     for batch in batches:
         raw, offsets = flat(batch)
         for lo, hi in chunks_by_bytes(offsets, CHUNK):
             part, off = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-            row, gram, place, first, last = anchors(part, off, length)
-            hit = bits.has(gram)
-            if not hit.any():
-                continue
             digests = _digests(part, off)
             fresh = []
             for d in digests:
@@ -119,21 +160,10 @@ def _contexts(length: int, keep, batches: Iterable[pa.RecordBatch]) -> Iterator[
                 docs.clear()
             if len(seen) > 1_000_000:
                 seen.clear()
-            hit &= np.array(fresh)[row]
-            out: dict[str, list] = {k: [] for k in ("cd", "rel", "ctx", "doc", "start")}
-            view = memoryview(np.ascontiguousarray(part))
-            for r, a, s, e in zip(row[hit].tolist(), place[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True):
-                ctx = view[s : e + length]
-                cd = xxhash.xxh3_128_digest(ctx, a - s)
-                out["cd"].append(cd)
-                out["rel"].append(a - s)
-                out["ctx"].append(None if cd in seen else bytes(ctx))
-                seen.add(cd)
-                out["doc"].append(digests[r])
-                out["start"].append(s - int(off[r]))
-            kinds = {"cd": pa.binary(), "rel": pa.int64(), "ctx": pa.binary(), "doc": pa.binary(), "start": pa.int64()}
-            windows = (last - first + 1)[hit]
-            yield pa.RecordBatch.from_pydict({"gram": pa.array(gram[hit].view(np.int64))} | {k: pa.array(v, kinds[k]) for k, v in out.items()} | {"windows": pa.array(windows)})
+            for p, o, base in segments(part, off, length):
+                out = of(p, o, base, digests, np.array(fresh))
+                if out is not None:
+                    yield out
 
 
 def _starts(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -286,8 +316,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, most: int = MOST) -> tupl
     distinct = rows.select("digest", "grams").where("size(grams) > 0").dropDuplicates(["digest"])
     again = work.write(distinct.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "again")
     with work.broadcast(Bits.slots(again, "gram", bits_for(again.count())).tobytes()) as keep:
-        found = work.write(arrow_map(docs.select("text"), _contexts, "gram long, cd binary, rel long, ctx binary, doc binary, start long, windows long", length, keep), "found")
-    counted = found.groupBy("gram", "cd").agg(F.count("*").alias("n"), F.max("windows").alias("windows"))
+        found = work.write(arrow_map(docs.select("text"), _contexts, "gram long, cd binary, rel long, ctx binary, doc binary, start long, windows long, times long", length, keep), "found")
+    counted = found.groupBy("gram", "cd").agg(F.sum("times").alias("n"), F.max("windows").alias("windows"))
     often = counted.where("n > 1").select("gram", "cd", F.lit(0).cast("long").alias("lo"), (F.col("windows") - 1).alias("hi"))
     contexts = found.where("ctx is not null").select("gram", "cd", "rel", "ctx")
     large = work.write(found.where("ctx is not null").groupBy("gram").agg(F.count("*").alias("m")).where(F.col("m") > most).select("gram"), "large")
@@ -302,19 +332,20 @@ def repeated_spans(docs: DataFrame, length: int = 400, most: int = MOST) -> tupl
         runs = runs.union(windows.join(twice, ["gram", "h1", "h2"]).select("gram", "cd", F.col("number").alias("lo"), F.col("number").alias("hi")))
     runs = work.write(runs.union(often), "runs")
     alone = copies.where("copies = 1").select(F.col("digest").alias("doc"))
-    at = found.select("gram", "cd", "doc", "start").join(runs, ["gram", "cd"])
-    spans = at.select("doc", (F.col("start") + F.col("lo")).alias("a"), (F.col("start") + F.col("hi") + length).alias("b")).join(alone, "doc", "left_semi")
+    at = found.select("gram", "cd", "doc", "start", ((F.col("times") - 1) * F.col("windows")).alias("more")).join(runs, ["gram", "cd"])
+    # Equal contexts in a row are repeated as they are, so all that they span is covered.
+    spans = at.select("doc", (F.col("start") + F.col("lo")).alias("a"), (F.col("start") + F.col("hi") + F.col("more") + length).alias("b")).join(alone, "doc", "left_semi")
     return rows.select("doc_id", "digest", "n_bytes").join(copies.hint("merge"), "digest"), work.write(spans, "spans"), work
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    spark = docs.sparkSession
     rows, spans, work = repeated_spans(docs, length, most)
     by_doc = work.write(spans.groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "by_doc")  # bounded by the text
-    keep = spark.sparkContext.broadcast(digest_slots(by_doc, "doc").tobytes())
-    texts = arrow_map(docs.select("text"), _flagged, "doc binary, text string", keep)
-    cut = work.write(arrow_map(texts.join(by_doc.hint("merge"), "doc"), _cut, "digest binary, removed long, spans long, kept string"), "cut").dropDuplicates(["digest"])
+    with work.broadcast(digest_slots(by_doc, "doc").tobytes()) as keep:
+        texts = arrow_map(docs.select("text"), _flagged, "doc binary, text string", keep)
+        cut = work.write(arrow_map(texts.join(by_doc.hint("merge"), "doc"), _cut, "digest binary, removed long, spans long, kept string"), "cut").dropDuplicates(["digest"])
+    work.drop("again", "found", "large", "windows", "runs", "spans", "by_doc")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     out = rows.join(cut.hint("merge"), "digest", "left")
     return out.select(
