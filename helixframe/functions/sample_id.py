@@ -110,7 +110,7 @@ def _long(s: bytes) -> int:
     return _fold(a, (_fold(v[1], w[1], mul) + x) & M, mul)
 
 
-def stable_id(parts: list[str], modulus: int = 1 << 63) -> int:
+def stable_id(parts: list[str], modulus: int = (1 << 63) - 1) -> int:
     return fingerprint64(json.dumps(parts).encode()) % modulus
 
 
@@ -118,7 +118,7 @@ def sample_id(name: str, file_path: str | None = None) -> int:
     """The id of a sample; with a file path, of the sample in that file."""
     if not name or file_path == "":
         raise ValueError("a sample needs a name, and a file path must not be empty")
-    return stable_id([name if file_path is None else re.sub(r"\W", "_", file_path) + "_" + name])
+    return stable_id([name if file_path is None else re.sub(r"\W", "_", file_path) + "_" + name], 1 << 63)
 
 
 @F.pandas_udf(T.LongType())

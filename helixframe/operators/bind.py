@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,8 +79,12 @@ def _defined(info: list[str], form: list[str]) -> Column:
     return F.when(F.size(wrong) > 0, F.raise_error(F.concat(F.lit("no such field in the header: "), F.array_join(wrong, ", "))).cast("boolean")).otherwise(True)
 
 
-def bind(rows: DataFrame, header: Header, lenient: bool = False, split_alternates: bool = True, missing: float | None = None, sample_id: Column | None = None) -> DataFrame:
-    """The columns of `header.schema`. sample_id: an expression over the field `name` of a call, by default its xxhash64."""
+def bind(rows: DataFrame, header: Header, lenient: bool = False, split_alternates: bool = True, missing: float | None = None, sample_id: Callable[[Column], Column] | None = None, call_name: bool = True, extra: list[str] | None = None) -> DataFrame:
+    """The columns of `header.schema` with the same options.
+
+    sample_id: an expression over a call's name, such as `samples.known_ids` of the headers' names; by default a hash that
+    is not the published id. extra: further columns of rows to keep as they are.
+    """
     info, form = header.sections["INFO"], header.sections["FORMAT"]
     per = [x for x in info.values() if split_alternates and x["Number"] == "A"]
     rest = [x for k, x in info.items() if k != "END" and not (split_alternates and x["Number"] == "A")]
@@ -95,7 +100,7 @@ def bind(rows: DataFrame, header: Header, lenient: bool = False, split_alternate
     def one_call(c: Column) -> Column:
         ident = F.pmod(F.xxhash64(c["name"]), F.lit((1 << 63) - 1)) if sample_id is None else sample_id(c["name"])
         fields = [_value(x, c["info"], lenient, missing).alias(column_name(k)) for k, x in form.items() if k not in ("GT", "PS")]
-        return F.struct(ident.alias("sample_id"), c["name"].alias("name"), F.transform(c["genotype"], lambda g: g.cast("long")).alias("genotype"), c["phaseset"].alias("phaseset"), *fields)
+        return F.struct(ident.alias("sample_id"), *[c["name"].alias("name")] * call_name, F.transform(c["genotype"], lambda g: g.cast("long")).alias("genotype"), c["phaseset"].alias("phaseset"), *fields)
 
     if not lenient:  # a filter, since a column that nothing reads would go with its error
         rows = rows.where(_defined(list(info), list(form)))
@@ -103,7 +108,7 @@ def bind(rows: DataFrame, header: Header, lenient: bool = False, split_alternate
     return rows.select(
         "reference_name", "start_position", "end_position", "reference_bases", alts.alias("alternate_bases"), "names", "quality",
         clean_list(F.col("filter"), T.StringType()).alias("filter"), F.transform("call", one_call).alias("call"),
-        *[_value(x, F.col("info"), lenient, missing).alias(column_name(x["ID"])) for x in rest],
+        *[_value(x, F.col("info"), lenient, missing).alias(column_name(x["ID"])) for x in rest], *(extra or []),
     )
 
 

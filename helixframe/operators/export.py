@@ -101,28 +101,87 @@ def encode_line(variants: DataFrame, one_based: bool = False) -> Column:
     def used(key: str) -> Column:
         return F.exists("call", lambda c: field(c, key).isNotNull())
 
-    # Which of the sorted keys a row has depends on its calls.
-    keys = [(k, used(k)) for k in sorted({"PS", *kinds})]
+    # Which of the sorted keys a row has depends on its calls. They are found once for a row: as the one element of an array.
+    keys = sorted({"PS", *kinds})
+    own = F.array(F.struct(*[used(k).alias(k) for k in keys]))
 
-    def call(c: Column) -> Column:
+    def call(c: Column, has: Column) -> Column:
         alleles = F.transform(c["genotype"], lambda g: F.when(g == -1, ".").otherwise(g.cast("string")))
         phased = F.coalesce(c["phaseset"], F.lit("")) != ""
         gt = F.when(F.size(alleles) > 0, F.when(phased, F.array_join(alleles, "|")).otherwise(F.array_join(alleles, "/"))).otherwise(".")
-        return F.concat_ws(":", gt, *[F.when(has, _or_dot(field(c, k))) for k, has in keys])
+        return F.concat_ws(":", gt, *[F.when(has[k], _or_dot(field(c, k))) for k in keys])
 
     alts = F.array_join(F.transform("alternate_bases", lambda a: a["alt"]), ",")
     info = F.concat_ws(";", end, *encode_info(variants))
     fixed = [F.col("reference_name"), pos.cast("string"), F.array_join("names", ";"), F.col("reference_bases"), alts, F.col("quality").cast("string"), F.array_join("filter", ";"), info]
     called = F.size("call") > 0
-    form = F.when(called, F.concat_ws(":", F.lit("GT"), *[F.when(has, k) for k, has in keys]))
+    form = F.when(called, F.get(F.transform(own, lambda has: F.concat_ws(":", F.lit("GT"), *[F.when(has[k], k) for k in keys])), F.lit(0)))
+    texts = F.get(F.transform(own, lambda has: F.array_join(F.transform("call", lambda c: call(c, has)), "\t")), F.lit(0))
     # Without calls the line ends with FORMAT: concat_ws leaves out the null.
-    return F.concat_ws("\t", *[_or_dot(x) for x in [*fixed, form]], F.when(called, F.array_join(F.transform("call", call), "\t")))
+    return F.concat_ws("\t", *[_or_dot(x) for x in [*fixed, form]], F.when(called, texts))
+
+
+def supported(variants: DataFrame) -> DataFrame:
+    """Only columns, and fields of calls and alternates, that have a VCF form: whole numbers, floats, text, flags and lists of them;
+    structs in alternates are annotations."""
+    good = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.StringType, T.BooleanType)
+
+    def fine(t: T.DataType) -> bool:
+        return isinstance(getattr(t, "elementType", t), good)
+
+    def fields(t: T.DataType, nested: bool) -> list[str]:
+        return [f.name for f in t.elementType.fields if fine(f.dataType) or (nested and isinstance(getattr(f.dataType, "elementType", None), T.StructType))]
+
+    def narrowed(column: str, keep: list[str]) -> Column:
+        return F.transform(column, lambda c: F.struct(*[c[k].alias(k) for k in keep])).alias(column)
+
+    out = []
+    for f in variants.schema.fields:
+        if f.name in ("call", "alternate_bases") and isinstance(f.dataType.elementType, T.StructType):
+            out.append(narrowed(f.name, fields(f.dataType, f.name == "alternate_bases")))
+        elif fine(f.dataType):
+            out.append(F.col(f"`{f.name}`"))
+    return variants.select(*out)
+
+
+def column_line(names: list[str]) -> str:
+    return "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])
+
+
+def write_shards(variants: DataFrame, path: str, header: list[str], names: list[str], most: int, one_based: bool = False) -> None:
+    """Files of at most `most` records, each with the header and so a VCF file of its own; records in no order across files."""
+    head = F.lit("\n".join([*header, column_line(names)]))
+    x = variants.select(F.monotonically_increasing_id().alias("n"), encode_line(variants, one_based).alias("line"))
+    x = x.select(F.shiftright("n", 33).alias("task"), F.floor(F.pmod("n", F.lit(1 << 33)) / most).alias("file"), "line")
+    # A file is a group that is bounded by `most`.
+    files = x.groupBy("task", "file").agg(F.collect_list("line").alias("lines"))
+    text = F.concat_ws("\n", head, F.array_join("lines", "\n"))
+    files.select(text.alias("value"), F.concat_ws("_", F.lit("count"), F.col("task"), F.col("file")).alias("shard")).write.partitionBy("shard").text(path)
+
+
+def compose(spark, path: str, target: str) -> None:
+    """The parts of `write_vcf` as one file: streams joined one after the other on the driver, so no part is held in memory."""
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+    hadoop, conf = jvm.org.apache.hadoop, sc._jsc.hadoopConfiguration()
+    root, out = hadoop.fs.Path(path), hadoop.fs.Path(target)
+    fs = root.getFileSystem(conf)
+    stream = out.getFileSystem(conf).create(out, True)
+    try:
+        for folder in ("header", "data"):
+            parts = sorted(str(x.getPath()) for x in fs.listStatus(hadoop.fs.Path(root, folder)) if x.getPath().getName().startswith("part-"))
+            for p in parts:
+                source = fs.open(hadoop.fs.Path(p))
+                try:
+                    hadoop.io.IOUtils.copyBytes(source, stream, conf, False)
+                finally:
+                    source.close()
+    finally:
+        stream.close()
 
 
 def write_vcf(variants: DataFrame, path: str, header: list[str], names: list[str], one_based: bool = False) -> None:
     """Ordered text parts whose names sort by position, the header as their first part; joining them in order is the file."""
     spark = variants.sparkSession
-    columns = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])
-    spark.createDataFrame([("\n".join([*header, columns]),)], "value string").write.text(f"{path}/header")
+    spark.createDataFrame([("\n".join([*header, column_line(names)]),)], "value string").coalesce(1).write.text(f"{path}/header")
     ordered = variants.repartitionByRange("reference_name", "start_position").sortWithinPartitions("reference_name", "start_position", "end_position", "reference_bases")
     ordered.select(encode_line(ordered, one_based).alias("value")).write.text(f"{path}/data")

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from helixframe.operators import reserved
+
 SECTIONS = ("INFO", "FILTER", "ALT", "FORMAT", "contig")
 SPARK = {"Integer": T.LongType(), "Float": T.DoubleType(), "String": T.StringType(), "Character": T.StringType(), "Flag": T.BooleanType()}
 
@@ -27,6 +29,22 @@ def parse_line(line: str) -> tuple[str, dict[str, str]] | None:
     return m[1], {k: v[1:-1] if v[:1] == '"' else v for k, v in pairs}
 
 
+def check(kind: str, x: dict[str, str]) -> None:
+    """A definition that the specification doesn't allow is an error."""
+    line = f"{kind} {x.get('ID', '')}"
+    if not x.get("ID"):
+        raise ValueError(f"incomplete header line: {line}")
+    if kind in ("INFO", "FORMAT"):
+        if not {"Number", "Type"} <= x.keys():
+            raise ValueError(f"incomplete header line: {line}")
+        if x["Type"] not in SPARK and x["Type"] != ".":
+            raise ValueError(f"unknown type {x['Type']}: {line}")
+        if not re.fullmatch(r"[0-9]+|[ARG.]", x["Number"]):
+            raise ValueError(f"unknown number {x['Number']}: {line}")
+        if kind == "FORMAT" and x["Type"] == "Flag":
+            raise ValueError(f"FORMAT has no flags: {line}")
+
+
 def parse(lines: list[str]) -> Header:
     out = Header()
     for line in lines:
@@ -34,8 +52,7 @@ def parse(lines: list[str]) -> Header:
             out.samples = line.rstrip("\n").split("\t")[9:]
         elif found := parse_line(line):
             kind, x = found
-            if "ID" not in x or (kind in ("INFO", "FORMAT") and not {"Number", "Type"} <= x.keys()):
-                raise ValueError(f"incomplete header line: {line}")
+            check(kind, x)
             if kind == "INFO" and x["Number"] == "G":
                 x["Number"] = "."
             out.sections[kind].setdefault(x["ID"], x)
@@ -103,7 +120,125 @@ def infer_format(rows: DataFrame) -> DataFrame:
     return _inferred(rows.select(F.explode("call.info").alias("m")).select(F.explode("m").alias("id", "value")), False)
 
 
-def schema(header: Header, split_alternates: bool = True) -> T.StructType:
+def fits(value: Column, kind: str) -> Column:
+    """The least type from `kind` on that holds all of a value's parts; dots hold no type. A flag is a null value."""
+    parts = F.filter(F.split(value, ","), lambda v: ~v.isin(".", ""))
+    whole = lambda v: v.try_cast("long").isNotNull() | (v.try_cast("double") == F.floor(v.try_cast("double")))
+    number = F.forall(parts, lambda v: v.try_cast("double").isNotNull())
+    if kind == "Flag":
+        return F.when(value.isNull(), kind).otherwise("String")
+    if kind == "Integer":
+        return F.when(value.isNull() | F.forall(parts, whole), kind).when(number, "Float").otherwise("String")
+    if kind == "Float":
+        return F.when(value.isNull() | number, kind).otherwise("String")
+    return F.lit(kind)
+
+
+def corrections(rows: DataFrame, header: Header) -> Header:
+    """Definitions that the values don't fit, mended: a wider type; a number of 1 for which there are lists, or one value for
+    each alternate for which there are others, becomes '.'. One pass with partial aggregation for each section."""
+    out = Header(samples=header.samples)
+    order = ["Flag", "Integer", "Float", "String"]
+    values = {"INFO": rows.select(F.explode("info").alias("id", "value"), F.size("alternate_bases").alias("alts")), "FORMAT": rows.select(F.explode("call.info").alias("m"), F.size("alternate_bases").alias("alts")).select(F.explode("m").alias("id", "value"), "alts")}
+    for kind, x in values.items():
+        own = {k: d for k, d in header.sections[kind].items() if d["Type"] in order}
+        if not own:
+            continue
+        fit, n = F.lit(None).cast("string"), F.size(F.split("value", ","))
+        for t in order:
+            ids = [k for k, d in own.items() if d["Type"] == t]
+            fit = F.when(F.col("id").isin(ids), fits(F.col("value"), t)).otherwise(fit) if ids else fit
+        lists = F.when(F.col("id").isin([k for k, d in own.items() if d["Number"] == "1"]), n > 1).when(F.col("id").isin([k for k, d in own.items() if d["Number"] == "A"]), n != F.col("alts")).otherwise(False)
+        rank = F.array_position(F.array(*[F.lit(t) for t in order]), fit)
+        found = x.where(F.col("id").isin(list(own))).select("id", rank.alias("rank"), F.coalesce(lists & F.col("value").isNotNull(), F.lit(False)).alias("lists")).groupBy("id").agg(F.max("rank").alias("rank"), F.max("lists").alias("lists"))
+        for r in found.collect():  # a row for each defined field
+            d = own[r.id]
+            new = d | {"Type": order[r["rank"] - 1], "Number": "." if r.lists else "1" if d["Type"] == "Flag" and order[r["rank"] - 1] != "Flag" else d["Number"]}
+            if new != d:
+                out.sections[kind][r.id] = new
+    return out
+
+
+def completed(rows: DataFrame, header: Header) -> Header:
+    """The header with what the rows show: undefined fields inferred, and definitions corrected that values don't fit."""
+    out = Header({k: dict(v) for k, v in header.sections.items()}, header.samples)
+    for kind, more in corrections(rows, header).sections.items():
+        out.sections[kind].update(more)
+    for kind, found in (("INFO", infer_info(rows)), ("FORMAT", infer_format(rows))):
+        for r in found.orderBy("id").collect():  # a row for each field
+            if r.id not in out.sections[kind] and r.id not in ("END", "GT", "PS"):
+                out.sections[kind][r.id] = {"ID": r.id, "Number": r.number, "Type": r.type, "Description": ""}
+    return out
+
+
+def annotation_types(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """(id, number, type) of an annotation's fields, as `column_name_TYPE`: the least type that holds all values; text if none has one."""
+    texts = rows.where(F.col("info")[column].isNotNull()).select(F.explode(F.split(F.col("info")[column], ",")).alias("text"))
+    x = texts.select(F.split("text", r"\|", -1).alias("p")).select(F.posexplode(F.slice("p", 2, len(names))).alias("at", "value"))
+    ids = F.element_at(F.array(*[F.lit(f"{column}_{n}_TYPE") for n in names]), F.col("at") + 1)
+    value = F.nullif(F.col("value"), F.lit(""))
+    rank = F.when(value.isNull(), 0).when(value.try_cast("long").isNotNull(), 1).when(value.try_cast("double").isNotNull(), 2).otherwise(3)
+    found = x.select(ids.alias("id"), rank.alias("rank")).groupBy("id").agg(F.max("rank").alias("rank"))
+    kind = F.element_at(F.array(*[F.lit(t) for t in ("String", "Integer", "Float", "String")]), F.col("rank") + 1)
+    return found.select("id", F.lit("1").alias("number"), kind.alias("type"))
+
+
+def find(schema: T.StructType, path: str) -> T.StructField | None:
+    """The field at a dotted path through structs and lists of structs; null where there is none."""
+    kind, out = schema, None
+    for name in path.split("."):
+        kind = getattr(kind, "elementType", kind)
+        if not isinstance(kind, T.StructType) or name not in kind.fieldNames():
+            return None
+        out = kind[name]
+        kind = out.dataType
+    return out
+
+
+_TEXT = {T.LongType: "Integer", T.IntegerType: "Integer", T.StringType: "String", T.DoubleType: "Float", T.FloatType: "Float", T.BooleanType: "Flag"}
+
+
+def from_schema(table: T.StructType, lenient: bool = False) -> Header:
+    """INFO and FORMAT definitions of a table's columns. A reserved field must have its type and repetition, unless lenient;
+    columns of types that VCF has no form for are left out. Structs in alternates are annotations."""
+    out = Header()
+
+    def add(kind: str, f: T.StructField, number: str | None = None) -> None:
+        many = isinstance(f.dataType, T.ArrayType)
+        text = _TEXT.get(type(f.dataType.elementType if many else f.dataType))
+        if text is None:
+            return
+        known = None if lenient else reserved.FIELDS[kind].get(f.name)
+        if known and text != known["Type"]:
+            raise ValueError(f"{f.name} is reserved as {known['Type']}, not {text}")
+        if known and number is None and many != (known["Number"] not in ("0", "1")):
+            raise ValueError(f"{f.name} is reserved with Number={known['Number']}")
+        own = {"ID": f.name, "Number": number or ("." if many else "0" if text == "Flag" else "1"), "Type": text, "Description": ""}
+        x = dict(known or own)
+        x["Description"] = (f.metadata.get("comment") or x["Description"]).replace("\n", " ")
+        out.sections[kind][f.name] = x
+
+    fixed = ("reference_name", "start_position", "end_position", "reference_bases", "names", "quality", "filter", "hom_ref_call", "sample_id")
+    for f in table.fields:
+        inner = getattr(f.dataType, "elementType", f.dataType)
+        if f.name == "call":
+            for g in inner.fields:
+                if g.name not in ("sample_id", "name", "genotype", "phaseset"):
+                    add("FORMAT", g)
+        elif f.name == "alternate_bases":
+            for g in inner.fields if isinstance(inner, T.StructType) else []:
+                deep = getattr(g.dataType, "elementType", None)
+                if isinstance(deep, T.StructType):
+                    names = "|".join(["Allele", *[n for n in deep.fieldNames() if n != "allele"]])
+                    out.sections["INFO"][g.name] = {"ID": g.name, "Number": ".", "Type": "String", "Description": f"{g.metadata.get('comment', '')} Format: {names}".strip()}
+                elif g.name != "alt":
+                    add("INFO", g, "A")
+        elif f.name not in fixed:
+            add("INFO", f)
+    return out
+
+
+def schema(header: Header, split_alternates: bool = True, call_name: bool = False) -> T.StructType:
     """The nested table schema: fixed columns, per-alternate fields, calls, then the other info fields."""
 
     def name(key: str) -> str:
@@ -117,7 +252,7 @@ def schema(header: Header, split_alternates: bool = True) -> T.StructType:
     info, form = header.sections["INFO"], header.sections["FORMAT"]
     per = [T.StructField(name(k), SPARK[x["Type"]], True) for k, x in info.items() if split_alternates and x["Number"] == "A"]
     s, n, many = T.StringType(), T.LongType(), T.ArrayType(T.StringType())
-    call = [T.StructField("sample_id", n), T.StructField("genotype", T.ArrayType(n)), T.StructField("phaseset", s)] + [one(x) for k, x in form.items() if k not in ("GT", "PS")]
+    call = [T.StructField("sample_id", n), *[T.StructField("name", s)] * call_name, T.StructField("genotype", T.ArrayType(n)), T.StructField("phaseset", s)] + [one(x) for k, x in form.items() if k not in ("GT", "PS")]
     fixed = [("reference_name", s), ("start_position", n), ("end_position", n), ("reference_bases", s), ("alternate_bases", T.ArrayType(T.StructType([T.StructField("alt", s), *per]))), ("names", many), ("quality", T.DoubleType()), ("filter", many), ("call", T.ArrayType(T.StructType(call)))]
     rest = [one(x) for k, x in info.items() if k != "END" and not (split_alternates and x["Number"] == "A")]
     return T.StructType([T.StructField(k, t) for k, t in fixed] + rest)

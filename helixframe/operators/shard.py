@@ -67,6 +67,62 @@ def parse_shards(config: list[dict]) -> list[Shard]:
     return shards
 
 
+#: Fixed values of the published human sharding: the end of the range of each chromosome, and of the rest.
+HUMAN = """
+chr1 249,240,615
+chr2 243,189,284
+chr3 198,233,091
+chr4 191,044,274
+chr5 181,478,212
+chr6 171,053,767
+chr7 159,335,971
+chr8 146,303,973
+chr9 141,149,922
+chr10 135,524,745
+chr11 135,076,620
+chr12 133,841,700
+chr13 115,109,876
+chr14 107,289,538
+chr15 102,521,390
+chr16 90,294,745
+chr17 83,247,376
+chr18 80,263,277
+chr19 59,118,975
+chr20 64,334,162
+chr21 48,119,890
+chr22 51,244,528
+chrX 156,030,808
+chrY 57,227,415
+residual 249,240,615
+"""
+
+
+def human_shards() -> list[Shard]:
+    """The default: a shard for each human chromosome, named with or without chr, and one for the rest."""
+    out = []
+    for line in HUMAN.strip().splitlines():
+        name, end = line.split()
+        regions = [name] if name == "residual" else [name, name.removeprefix("chr")]
+        out.append({"output_table": {"table_name_suffix": name, "regions": regions, "partition_range_end": int(end.replace(",", ""))}})
+    return parse_shards(out)
+
+
+def load_shards(spark: SparkSession, path: str) -> list[Shard]:
+    """A sharding file in YAML, read by Spark, so that it may be in any store; numbers may have thousands separators."""
+    import yaml
+
+    config = yaml.safe_load("\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect()))
+    if not isinstance(config, list):
+        raise ValueError("a sharding file is a list of output tables")
+    for item in config:
+        x = item.get("output_table") if isinstance(item, dict) else None
+        if not isinstance(x, dict) or not {"table_name_suffix", "regions", "partition_range_end"} <= x.keys():
+            raise ValueError(f"an output table needs a suffix, regions and a range end: {item}")
+        x["partition_range_end"] = int(str(x["partition_range_end"]).replace(",", ""))
+        x["table_name_suffix"] = str(x["table_name_suffix"])
+    return parse_shards(config)
+
+
 def bucket_width(range_end: int) -> int:
     """The width of one of MOST_BUCKETS range buckets up to range_end, with room to spare, in steps of ten."""
     if range_end >= END_OF_REFERENCE - 10**5:
@@ -110,3 +166,24 @@ def write_table(variants: DataFrame, path: str, mode: str = "error") -> None:
     """Folders by shard and bucket, rows in files by position: one shuffle that spreads each bucket by its rows."""
     spread = variants.repartitionByRange("shard", "bucket", "start_position")
     spread.sortWithinPartitions("shard", "bucket", "start_position", "end_position").write.mode(mode).partitionBy("shard", "bucket").parquet(path)
+
+
+def shards_of(region: Region, shards: list[Shard]) -> list[Shard]:
+    """The shards that may hold rows that lie in a region: those that overlap it, and the residual one if they don't cover it."""
+    own = [(r, s) for s in shards for r in s.regions if r.reference == region.reference and r.start < region.end and region.start < r.end]
+    at = region.start
+    for r, _ in sorted(own, key=lambda x: x[0].start):
+        at = max(at, r.end) if r.start <= at else at
+    rest = [s for s in shards if s.residual] if at < region.end else []
+    return list(dict.fromkeys(s for _, s in own)) + rest
+
+
+def read_regions(spark: SparkSession, path: str, regions: list[Region], shards: list[Shard]) -> DataFrame:
+    """Rows of a table of `write_table` that lie in one of the regions. Only folders of their shards and buckets are listed."""
+    table = spark.read.parquet(path)
+    each = []
+    for r in regions:
+        for s in shards_of(r, shards):
+            each.append((F.col("shard") == s.suffix) & bucket_filter([r], bucket_width(s.range_end)))
+    folders = reduce(lambda a, b: a | b, each) if each else F.lit(False)
+    return (table.where(folders) if regions else table).where(region_filter(regions))

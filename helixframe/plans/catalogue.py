@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.operators import annotate, bind, export, flatten, header, intervals, merge, shard
+from helixframe.operators import annotate, bind, export, flatten, header, intervals, merge, samples, shard, table
+from helixframe.plans import storage
 from helixframe.plans.variants import CTE, variants
 from helixframe.sources import vcf
 
@@ -41,37 +42,37 @@ def annotations(v: DataFrame) -> DataFrame:
 @query("SELECT min(start_position) AS min_start, max(end_position) AS max_end, count(DISTINCT k) AS n FROM ve WHERE reference_name = 'chr1' AND symbol = 'Brand#11'")
 def q1_gene_range(spark, sf_dir):
     has = F.exists("alternate_bases", lambda a: F.exists(a["vep"], lambda e: e["SYMBOL"] == "Brand#11"))
-    return variants(spark, sf_dir).where((F.col("reference_name") == "chr1") & has).agg(F.min("start_position").alias("min_start"), F.max("end_position").alias("max_end"), F.count("*").alias("n"))
+    return variants(spark, sf_dir, "reference_name = 'chr1'").where(has).agg(F.min("start_position").alias("min_start"), F.max("end_position").alias("max_end"), F.count("*").alias("n"))
 
 
 @query("SELECT filter AS variant_type, count(*) AS n FROM (SELECT DISTINCT start_position, reference_bases, alt, filter FROM va WHERE reference_name = 'chr1' AND start_position BETWEEN 100 AND 1500) GROUP BY 1")
 def q2_variant_types(spark, sf_dir):
-    v = variants(spark, sf_dir).where("reference_name = 'chr1' AND start_position >= 100 AND start_position <= 1500")
+    v = variants(spark, sf_dir, "reference_name = 'chr1' AND start_position >= 100 AND start_position <= 1500")
     x = v.select("start_position", "reference_bases", F.explode("alternate_bases.alt").alias("alt"), F.col("filter")[0].alias("variant_type")).distinct()
     return x.groupBy("variant_type").agg(F.count("*").alias("n"))
 
 
 @query("SELECT DISTINCT start_position, reference_bases, alt FROM va WHERE reference_name = 'chr1' AND start_position BETWEEN 100 AND 1500")
 def q3_distinct_variants(spark, sf_dir):
-    v = variants(spark, sf_dir).where("reference_name = 'chr1' AND start_position >= 100 AND start_position <= 1500")
+    v = variants(spark, sf_dir, "reference_name = 'chr1' AND start_position >= 100 AND start_position <= 1500")
     return v.select("start_position", "reference_bases", F.explode("alternate_bases.alt").alias("alt")).distinct()
 
 
 @query("SELECT k, alt, AC, AC_male, AC_female FROM va WHERE reference_name = 'chr3' AND start_position >= 0 AND end_position <= 1000")
 def q4_allele_counts(spark, sf_dir):
-    v = variants(spark, sf_dir).where(shard.region_filter([shard.parse_region("chr3:0-1000")]))
+    v = variants(spark, sf_dir, shard.region_filter([shard.parse_region("chr3:0-1000")]))
     return v.select(F.col("NS").alias("k"), F.inline("alternate_bases")).select("k", "alt", "AC", "AC_male", "AC_female")
 
 
 @query("SELECT k, alt, AC_female FROM va WHERE reference_name = 'chr3' AND AC > 10 AND AC_male = 0 ORDER BY AC_female DESC")
 def q5_only_one_sex(spark, sf_dir):
-    x = variants(spark, sf_dir).where("reference_name = 'chr3'").select(F.col("NS").alias("k"), F.inline("alternate_bases"))
+    x = variants(spark, sf_dir, "reference_name = 'chr3'").select(F.col("NS").alias("k"), F.inline("alternate_bases"))
     return x.where("AC > 10 AND AC_male = 0").select("k", "alt", "AC_female").orderBy(F.desc("AC_female"))
 
 
 @query("SELECT k, alt, AC FROM va WHERE (AC_male = AC) <> (AC_female = AC) AND reference_name IN ('chr1', 'chr2')")
 def q6_private_alternates(spark, sf_dir):
-    x = variants(spark, sf_dir).where("reference_name IN ('chr1', 'chr2')").select(F.col("NS").alias("k"), F.inline("alternate_bases"))
+    x = variants(spark, sf_dir, "reference_name IN ('chr1', 'chr2')").select(F.col("NS").alias("k"), F.inline("alternate_bases"))
     return x.where("(AC_male = AC) <> (AC_female = AC)").select("k", "alt", "AC")
 
 
@@ -168,7 +169,7 @@ def q18_sample_lookup(spark, sf_dir):
   WHERE (reference_name = 'chr1' AND start_position >= 0 AND end_position <= 1000) OR reference_name = 'chr2'""")
 def q19_export(spark, sf_dir):
     """Export lines of regions and two samples, read apart again."""
-    x = export.densify(variants(spark, sf_dir).where(shard.region_filter(REGIONS)), [1, 2])
+    x = export.densify(variants(spark, sf_dir, shard.region_filter(REGIONS)), [1, 2])
     x = x.select(F.split(export.encode_line(x), "\t").alias("f"))
     call = lambda i: F.when(F.col("f")[i] == ".", "./.").otherwise(F.col("f")[i])
     return x.select(F.array_join(F.slice("f", 1, 5), "\t").alias("line"), call(9).alias("call1"), call(10).alias("call2"))
@@ -186,10 +187,11 @@ def a2_move_to_calls(spark, sf_dir):
     return m.select("reference_name", "start_position", "reference_bases", F.array_join("alternate_bases.alt", ",").alias("alts"), "quality", F.array_join("filter", ";").alias("filters"), F.array_join("names", ";").alias("names"), F.size("call").cast("long").alias("n_calls"))
 
 
-@query("SELECT CAST(sum(quality * n) AS DOUBLE) > 0 AS positive, CAST(sum(n) AS BIGINT) AS calls, count(DISTINCT quality) AS qualities FROM v JOIN (SELECT k, count(*) AS n FROM c GROUP BY k) USING (k)")
+@query("SELECT filter, CAST(sum(k) AS BIGINT) AS sum_ns, CAST(sum(CAST(round(quality * 100) AS BIGINT)) AS BIGINT) AS cents, count(*) AS calls FROM vc GROUP BY 1")
 def a3_copied_to_calls(spark, sf_dir):
+    """Each call brings its own variant's quality, filter and moved field along."""
     m = merge.move_to_calls(variants(spark, sf_dir), "^NS$", copy_quality=True, copy_filter=True).select(F.explode("call").alias("c")).select("c.*")
-    return m.agg((F.sum("quality") > 0).alias("positive"), F.count("*").alias("calls"), F.count_distinct("quality").alias("qualities"))
+    return m.groupBy(F.array_join("filter", ";").alias("filter")).agg(F.sum("NS").alias("sum_ns"), F.sum(F.round(F.col("quality") * 100).cast("long")).alias("cents"), F.count("*").alias("calls"))
 
 
 @query("""SELECT CASE WHEN CAST(substring(reference_name, 4) AS INT) <= 10 THEN reference_name WHEN reference_name = 'chr11' AND start_position < 1000 THEN 'chr11_low' ELSE 'rest' END AS shard,
@@ -230,26 +232,63 @@ def a8_sample_counts(spark, sf_dir):
     return variants(spark, sf_dir).select(F.explode("call.sample_id").alias("sample_id")).groupBy("sample_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT s_name AS sample_name, count(*) AS n FROM vc JOIN supplier ON s_suppkey = sample_id GROUP BY 1")
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("sample_id"), F.col("s_name").alias("sample_name"))
+
+
+@query("SELECT s_name AS sample_name, count(*) AS n FROM vc LEFT JOIN supplier ON s_suppkey = sample_id GROUP BY 1")
 def j1_sample_names(spark, sf_dir):
-    names = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("sample_id"), F.col("s_name").alias("sample_name"))
     x = flatten.by_sample(variants(spark, sf_dir)).groupBy("sample_id").agg(F.count("*").alias("n"))
-    return x.join(names, "sample_id").select("sample_name", "n")
+    return samples.to_names(x, _people(spark, sf_dir)).select("sample_name", "n")
 
 
-@query("SELECT CASE WHEN g1 = 0 AND g2 = 0 THEN 'reference' ELSE 'variant' END AS kind, count(*) AS n FROM c GROUP BY 1")
-def p14_reference_calls(spark, sf_dir):
-    other = lambda c: F.exists(c["genotype"], lambda g: g != 0)
-    x = variants(spark, sf_dir).select(F.size(F.filter("call", other)).alias("v"), F.size("call").alias("n"))
-    s = x.agg(F.sum("v").alias("v"), F.sum(F.col("n") - F.col("v")).alias("r"))
-    return s.selectExpr("stack(2, 'variant', v, 'reference', r) AS (kind, n)")
+@query("SELECT sample_id, reference_name, count(*) AS n FROM vc WHERE sample_id IN (SELECT s_suppkey FROM supplier WHERE s_name LIKE '%7') GROUP BY 1, 2")
+def j2_sample_ids(spark, sf_dir):
+    """Variants of samples that are asked for by name."""
+    asked = _people(spark, sf_dir).where("sample_name LIKE '%7'").select("sample_name")
+    ids = samples.to_ids(asked, _people(spark, sf_dir))
+    x = flatten.by_sample(variants(spark, sf_dir)).join(ids.select("sample_id"), "sample_id", "left_semi")
+    return x.groupBy("sample_id", "reference_name").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(quantile_disc(AC, 0.0) AS BIGINT) AS q0, CAST(max(AC) AS BIGINT) AS q10, count(*) AS n FROM va")
-def a12_quantiles(spark, sf_dir):
-    x = alternates(variants(spark, sf_dir))
-    q = F.percentile_approx("AC", [i / 10 for i in range(11)])
-    return x.agg(q.alias("q"), F.count("*").alias("n")).select(F.col("q")[0].alias("q0"), F.col("q")[10].alias("q10"), "n")
+@query("SELECT DISTINCT sample_id FROM c")
+def a6_combined_sample_ids(spark, sf_dir):
+    ids = samples.combined_ids(variants(spark, sf_dir))
+    return spark.createDataFrame([(i,) for i in ids], "sample_id long")
+
+
+@query("SELECT reference_name, CAST(sum(start_position * n) AS BIGINT) AS checksum FROM v JOIN (SELECT k, count(*) AS n FROM c GROUP BY k) USING (k) GROUP BY 1")
+def a14_weighted_checksum(spark, sf_dir):
+    x = variants(spark, sf_dir).where(F.size("call") > 0)
+    return x.groupBy("reference_name").agg(F.sum(F.col("start_position") * F.size("call")).alias("checksum"))
+
+
+@query("SELECT reference_name, start_position, count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_k FROM v WHERE (reference_name = 'chr1' AND end_position <= 1000) OR reference_name = 'chr2' OR (reference_name = 'chr21' AND start_position >= 500 AND end_position <= 900) GROUP BY 1, 2")
+def k4_region_table(spark, sf_dir):
+    """A sharded table written, then read by regions through its folders."""
+    path = storage.folder(spark, "k4")
+    shards = [shard.Shard(s.suffix, s.regions, 400_000, s.residual) for s in SHARDS]  # wider buckets
+    table.create(shard.route(variants(spark, sf_dir).drop("alternate_bases", "call"), shards), path)
+    x = shard.read_regions(spark, path, [*REGIONS, shard.parse_region("chr21:500-900")], shards)
+    return x.groupBy("reference_name", "start_position").agg(F.count("*").alias("n"), F.sum("NS").alias("sum_k"))
+
+
+@query("SELECT * FROM (VALUES ('INFO', 'AC', '.', 'Integer'), ('INFO', 'DB', '0', 'Flag'), ('INFO', 'NS', '1', 'Float'), ('INFO', 'QT', '.', 'Float'), ('INFO', 'TX', '1', 'String'), ('FORMAT', 'GQ', '1', 'Integer'), ('FORMAT', 'GT', '1', 'String'), ('FORMAT', 'ZZ', '.', 'String')) t(category, id, number, type)")
+def h5_completed_header(spark, sf_dir):
+    """Fields that lines use without a definition, and definitions that their values don't fit."""
+    k = F.col("o_orderkey")
+    info = F.concat(F.lit("NS="), (k / 2).cast("string"), F.when(k % 2 == 0, ";DB").otherwise(""), F.lit(";QT=1.5,2;AC=3;TX="), F.col("o_orderpriority"))
+    line = F.concat_ws("\t", F.lit("chr1"), (k + 1).cast("string"), F.lit("."), F.lit("A"), F.lit("C,T"), F.lit("."), F.lit("PASS"), info, F.lit("GT:GQ:ZZ"), F.concat(F.lit("0/1:7:x,"), F.col("o_orderstatus")))
+    rows = vcf.well_formed(vcf.parse(spark.read.parquet(f"{sf_dir}/orders.parquet").select(line.alias("value"))))
+    head = header.parse(['##INFO=<ID=NS,Number=1,Type=Integer,Description="n">', '##INFO=<ID=AC,Number=A,Type=Integer,Description="c">', '##FORMAT=<ID=GT,Number=1,Type=String,Description="g">', '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="q">'])
+    done = header.completed(rows, head)
+    return spark.createDataFrame([(s, i, x["Number"], x["Type"]) for s in ("INFO", "FORMAT") for i, x in done.sections[s].items()], "category string, id string, number string, type string")
+
+
+@query("SELECT CASE WHEN g1 = 0 AND g2 = 0 THEN 'reference' ELSE 'variant' END AS kind, count(*) AS n FROM c GROUP BY 1")
+def p14_reference_calls(spark, sf_dir):
+    x = bind.hom_ref_calls(variants(spark, sf_dir)).select(F.size("call").alias("v"), F.size("hom_ref_call").alias("r"))
+    return x.agg(F.sum("v").alias("v"), F.sum("r").alias("r")).selectExpr("stack(2, 'variant', v, 'reference', r) AS (kind, n)")
 
 
 DECILES = [i / 10 for i in range(11)]

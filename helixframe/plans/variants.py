@@ -5,14 +5,32 @@ An order is a variant, its lineitems are its alternates (by return flag), calls
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+def variants(spark: SparkSession, sf_dir: str, where: Column | str | None = None) -> DataFrame:
+    """where: a predicate on reference_name, start_position, end_position, reference_bases, names, quality, filter and NS; lineitems
+    of other orders are dropped before anything is made of them."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    orders, items, parts = read("orders"), read("lineitem"), read("part")
-    base = F.substring(F.lit("ACGTN"), F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(1))
+    items, parts = read("lineitem"), read("part")
+    start = 10 * (F.col("o_orderkey") % 200)
+    orders = read("orders").select(
+        F.concat(F.lit("chr"), (1 + F.col("o_custkey") % 22).cast("string")).alias("reference_name"),
+        start.alias("start_position"),
+        (start + 1).alias("end_position"),
+        F.substring(F.lit("ACGTN"), F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(1)).alias("reference_bases"),
+        F.array(F.concat(F.lit("rs"), F.col("o_orderkey").cast("string"))).alias("names"),
+        F.col("o_totalprice").alias("quality"),
+        F.array("o_orderstatus").alias("filter"),
+        F.col("o_orderkey").alias("NS"),
+    )
+    # One shuffle by order key serves the groups below and the joins with orders.
+    if where is None:
+        items = items.repartition("l_orderkey")
+    else:
+        orders = orders.where(where)
+        items = items.join(orders.select(F.col("NS").alias("l_orderkey")), "l_orderkey", "left_semi")
     x = items.join(parts.select("p_partkey", "p_brand", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey"), "left")
     qty = F.col("l_quantity").cast("long")
     odd = F.col("l_linenumber") % 2 == 1
@@ -26,21 +44,14 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     alts = per_alt.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("alt", "AC", "AN", "AC_male", "AC_female", "vep"))).alias("alternate_bases"))
     per_call = items.groupBy("l_orderkey", "l_suppkey").agg((F.max("l_linenumber") % 3).alias("a"), (F.max("l_partkey") % 3).alias("b"))
     calls = per_call.groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_suppkey").alias("sample_id"), F.array(F.col("a").cast("int"), F.col("b").cast("int")).alias("genotype"), F.lit(None).cast("string").alias("phaseset")))).alias("call"))
-    # One shuffle by order key for all three: alternates, calls and orders are partitioned alike.
-    out = orders.join(alts, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(calls, F.col("o_orderkey") == F.col("k"), "left")
-    start = 10 * (F.col("o_orderkey") % 200)
+    out = orders.join(alts, F.col("NS") == F.col("l_orderkey"), "left").join(calls, F.col("NS") == F.col("k"), "left")
     return out.select(
-        F.concat(F.lit("chr"), (1 + F.col("o_custkey") % 22).cast("string")).alias("reference_name"),
-        start.alias("start_position"),
-        (start + 1).alias("end_position"),
-        base.alias("reference_bases"),
+        "reference_name", "start_position", "end_position", "reference_bases",
         F.coalesce("alternate_bases", F.array().cast(out.schema["alternate_bases"].dataType)).alias("alternate_bases"),
-        F.array(F.concat(F.lit("rs"), F.col("o_orderkey").cast("string"))).alias("names"),
-        F.col("o_totalprice").alias("quality"),
-        F.array("o_orderstatus").alias("filter"),
+        "names", "quality", "filter",
         F.coalesce("call", F.array().cast(out.schema["call"].dataType)).alias("call"),
-        F.col("o_orderkey").alias("NS"),
-    )
+        "NS",
+    )
 
 
 #: Flat twins: v (a row for each variant), a (alternates), e (annotations), c (calls).
