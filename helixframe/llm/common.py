@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ROWS_PER_BATCH = 1000
 BYTES_PER_BATCH = 8 << 20
@@ -89,11 +90,16 @@ class Workspace:
             out.destroy()
 
 
-def arrow_map(df: DataFrame, fn: Callable[..., Iterable[pa.RecordBatch]], schema: str, *args) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[..., Iterable[pa.RecordBatch]], schema: str | StructType, *args) -> DataFrame:
     """mapInArrow of a module-level fn(batches, *args); module state then lives as long as the Python worker."""
     return df.mapInArrow(partial(fn, *args), schema)
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """The columns named by their places: rows whole through Python, whatever names (dots, clashes) they have."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Workspace, arrow_map, texts_of
+from helixframe.llm.common import Workspace, arrow_map, by_place, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -341,23 +341,27 @@ def mask_text(text: str, spans: list) -> str:
     return "".join(out) + text[at:]
 
 
-def _mask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mask(text: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [t if t is None or not s else mask_text(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
-        k = batch.schema.get_field_index("text")
-        batch = batch.set_column(k, pa.field("text", pa.string()), pa.array(texts, pa.string()))
+        texts = [t if t is None or not s else mask_text(t, s) for t, s in zip(batch.column(text).to_pylist(), batch.column("spans").to_pylist(), strict=True)]
+        k = batch.schema.get_field_index(text)
+        batch = batch.set_column(k, pa.field(text, pa.string()), pa.array(texts, pa.string()))
         yield batch.drop_columns(["spans"])
 
 
 def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """docs with every span masked; n_chars, where there is one, counts the new text."""
+    """docs with every span masked; n_chars, where there is one, counts the new text.
+
+    Columns go by their places, so that any name may be among them; null texts stay null.
+    """
     work = Workspace(docs.sparkSession, "redact")
-    numbered = work.write(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    out = extract(numbered.select(F.col("__row").alias("rid"), F.col("__row").alias("doc_id"), "text"), work, rounds)
-    spans = work.write(out.where("size(spans) > 0").select(F.col("rid").alias("__row"), "spans"), "spans")
-    names = docs.columns
-    hit = numbered.join(spans, "__row").drop("__row")
-    hit = arrow_map(hit, _mask, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    names, plain = docs.columns, by_place(docs)
+    text = plain.columns[names.index("text")]
+    numbered = work.write(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    out = extract(numbered.select(F.col("row").alias("rid"), F.col("row").alias("doc_id"), F.col(text).alias("text")), work, rounds)
+    spans = work.write(out.where("size(spans) > 0").select(F.col("rid").alias("row"), "spans"), "spans")
+    hit = arrow_map(numbered.join(spans, "row").drop("row"), _mask, plain.schema, text)
     if "n_chars" in names:
-        hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return numbered.join(spans, "__row", "left_anti").select(*names).union(hit.select(*names))
+        n = plain.columns[names.index("n_chars")]
+        hit = hit.withColumn(n, F.length(text).cast(plain.schema[n].dataType))
+    return numbered.join(spans, "row", "left_anti").select(*plain.columns).union(hit.select(*plain.columns)).toDF(*names)
