@@ -103,7 +103,8 @@ def run_import(spark: SparkSession, a: argparse.Namespace) -> None:
     out = bind.bind(raw, kept, a.allow_incompatible_records, a.split, a.null_numeric_value_replacement, samples.id_of(known), a.include_call_name, extra=[f"_{k}" for k in annotations])
     mode = "allele_num" if a.use_allele_num else "minimal" if a.minimal_vep_alt_matching else "default"
     for k, fields in annotations.items():
-        out = annotate.attach(out.withColumnRenamed(f"_{k}", k), k, fields, mode)
+        types = header.annotation_columns(rows, k, fields) if a.infer_annotation_types else None
+        out = annotate.attach(out.withColumnRenamed(f"_{k}", k), k, fields, mode, types)
     if a.move_hom_ref_calls:
         out = bind.hom_ref_calls(out)
     if a.omit_empty_sample_calls:

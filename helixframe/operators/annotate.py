@@ -68,11 +68,14 @@ def _parsed(column: str, names: list[str], mode: str) -> Column:
     return F.transform(F.coalesce(F.split(column, ","), F.array().cast("array<string>")), one)
 
 
-def attach(variants: DataFrame, column: str, names: list[str], mode: str = "default") -> DataFrame:
-    """alternate_bases (strings) -> array of (alt, column: array of (allele, names...)); `column` is the INFO text."""
+def attach(variants: DataFrame, column: str, names: list[str], mode: str = "default", types: dict[str, str] | None = None) -> DataFrame:
+    """alternate_bases (strings) -> array of (alt, column: array of (allele, names...)); `column` is the INFO text.
+
+    types: Spark types of fields that aren't text; a value that doesn't fit is null.
+    """
 
     def fields(e: Column) -> Column:
-        return F.struct(F.get(e["parts"], F.lit(0)).alias("allele"), *[F.nullif(F.get(e["parts"], F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)])
+        return F.struct(F.get(e["parts"], F.lit(0)).alias("allele"), *[F.nullif(F.get(e["parts"], F.lit(i + 1)), F.lit("")).try_cast((types or {}).get(n, "string")).alias(n) for i, n in enumerate(names)])
 
     x = variants.withColumn("_parsed", _parsed(column, names, mode))
     own = lambda i: F.filter("_parsed", lambda e: e["whole"] & (F.size(e["at"]) == 1) & (F.get(e["at"], F.lit(0)) == i))

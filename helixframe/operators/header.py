@@ -183,6 +183,13 @@ def annotation_types(rows: DataFrame, column: str, names: list[str]) -> DataFram
     return found.select("id", F.lit("1").alias("number"), kind.alias("type"))
 
 
+def annotation_columns(rows: DataFrame, column: str, names: list[str]) -> dict[str, str]:
+    """The Spark types of an annotation's fields whose values are all numbers; a row a field comes to the driver."""
+    found = {r.id: r.type for r in annotation_types(rows, column, names).collect()}
+    spark = {"Integer": "long", "Float": "double"}
+    return {n: spark[found[f"{column}_{n}_TYPE"]] for n in names if found.get(f"{column}_{n}_TYPE") in spark}
+
+
 def find(schema: T.StructType, path: str) -> T.StructField | None:
     """The field at a dotted path through structs and lists of structs; null where there is none."""
     kind, out = schema, None

@@ -38,9 +38,12 @@ def into_windows(df: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def segments(blocks: DataFrame) -> DataFrame:
     """Blocks cut at every start and end of their window: least quality, sorted union of names and filters, all calls."""
-    cut = blocks.select(*AT, F.explode(F.array("start_position", "end_position")).alias("lo")).distinct()
-    cut = cut.withColumn("hi", F.lead("lo").over(Window.partitionBy(*AT).orderBy("lo"))).where("hi IS NOT NULL")
-    x = cut.join(blocks, [*AT]).where("start_position < hi AND lo < end_position")
+    # A window's cuts are at most its positions; a block finds its own among them, so rows are those of the result.
+    cuts = blocks.select(*AT, F.explode(F.array("start_position", "end_position")).alias("cut")).groupBy(*AT).agg(F.array_sort(F.collect_set("cut")).alias("cuts"))
+    at = F.array_position("cuts", F.col("start_position")).cast("int")
+    n = F.greatest(F.array_position("cuts", F.col("end_position")).cast("int") - at, F.lit(0))
+    pieces = F.arrays_zip(F.slice("cuts", at, n).alias("lo"), F.slice("cuts", at + 1, n).alias("hi"))
+    x = blocks.join(cuts, [*AT]).withColumn("_piece", F.explode(pieces)).withColumns({"lo": F.col("_piece.lo"), "hi": F.col("_piece.hi")})
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), F.array().cast("array<string>"))))))
     return x.groupBy(*AT, "lo", "hi").agg(F.min("quality").alias("quality"), union("names").alias("names"), union("filter").alias("filter"), F.array_sort(F.flatten(F.collect_list("call"))).alias("call"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.operators import header
-from helixframe.sources import vcf
+from helixframe.sources import bgzf, vcf
 
 HEADER_BYTES = 64 << 20
 
@@ -53,13 +53,25 @@ def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pydict({"value": pa.array([rest.decode("utf-8", "replace")]), "file_path": pa.array([name])})
 
 
-def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(value, file_path) of all lines. `.bgz` is read a file a task, up to 2 GB; rename it `.gz` and Hadoop's codec has no such bound."""
+def _sizes(spark: SparkSession, paths: list[str]) -> list[tuple[str, int]]:
+    jvm, out = spark.sparkContext._jvm, []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((status.getPath().toString(), status.getLen()))
+    return out
+
+
+def read_lines(spark: SparkSession, paths: list[str], split: int = bgzf.SPLIT) -> DataFrame:
+    """(value, file_path) of all lines. `.bgz` is read in splits of this many bytes where tasks can open its file system
+    themselves; elsewhere a file a task, up to 2 GB (rename it `.gz` and Hadoop's codec has no such bound)."""
     compression(paths)
     blocks = [p for p in paths if p.endswith(".bgz")]
     rest = [p for p in paths if not p.endswith(".bgz")]
     parts = [vcf.read_lines(spark, rest)] if rest else []
-    if blocks:
+    if blocks and all(map(bgzf.readable, blocks)):
+        parts.append(bgzf.read_lines(spark, _sizes(spark, blocks), split))
+    elif blocks:
         parts.append(spark.read.format("binaryFile").load(blocks).select("path", "content").mapInArrow(_members, "value string, file_path string"))
     out = parts[0]
     for x in parts[1:]:

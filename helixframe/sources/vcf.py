@@ -1,7 +1,7 @@
 """VCF text to rows: lines by Spark's text source (plain, gzip, bzip2), tokenised with column expressions only.
 
-A line that can't be read becomes a row with `error` set, all else null. `.bgz` files are renamed gzip and need a codec
-extension of the Hadoop configuration; gzip of many members is read whole.
+A line that can't be read becomes a row with `error` set, all else null. Gzip of many members is read whole, a file a task;
+`bgzf` reads `.bgz` files in splits.
 """
 
 from __future__ import annotations

@@ -197,3 +197,17 @@ def test_schema_json(spark, tmp_path):
     schema = header.schema(header.parse(HEAD))
     table.write_schema(spark, schema, f"file://{tmp_path}/t")
     assert json.loads(spark.read.text(f"file://{tmp_path}/t/_schema").first().value) == json.loads(schema.json())
+
+
+def test_annotation_types_are_inferred_on_import(spark, place, tmp_path):
+    csq = '##INFO=<ID=CSQ,Number=.,Type=String,Description="Allele|gene|score|count">'
+    lines = [*HEAD, csq, f"{COLUMNS}\tann", "chr1\t11\t.\tA\tC,G\t.\tPASS\tNS=2;CSQ=C|x1|1.5|2,G|x2||7\tGT\t0/1", "chr1\t20\t.\tA\tT\t.\tPASS\tCSQ=T|3|2|\tGT\t0/1"]
+    (tmp_path / "ann.vcf").write_text("\n".join(lines) + "\n")
+    for flags, kinds in (([], ["string"] * 3), (["--infer_annotation_types"], ["string", "double", "bigint"])):
+        out = f"{place}/typed{len(flags)}"
+        run(spark, "import", "--input_pattern", f"{place}/ann.vcf", "--output_table", out, "--sharding_config_path", f"{place}/shards.yaml", "--annotation_fields", "CSQ", *flags)
+        rows = table.read(spark, out)
+        fields = rows.schema["alternate_bases"].dataType.elementType["CSQ"].dataType.elementType
+        assert [fields[n].dataType.simpleString() for n in ("gene", "score", "count")] == kinds
+    got = [r.asDict(True)["alternate_bases"] for r in rows.orderBy("start_position").collect()]
+    assert [[(e["gene"], e["score"], e["count"]) for e in a["CSQ"]] for alts in got for a in alts] == [[("x1", 1.5, 2)], [("x2", None, 7)], [("3", 2.0, None)]]
