@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DELETED = "-"
 ALLELE_NUMBER = "ALLELE_NUM"
@@ -60,16 +61,24 @@ def matches(ref: Column, alts: Column, parts: Column, names: list[str], mode: st
     return F.slice(found, 1, 1)
 
 
-def _parsed(column: str, names: list[str], mode: str) -> Column:
+def _alts(variants: DataFrame) -> tuple[Column, list[str]]:
+    """The texts of the alternates, and the fields of their structs where they are structs."""
+    kind = variants.schema["alternate_bases"].dataType.elementType
+    fields = kind.fieldNames() if isinstance(kind, T.StructType) else []
+    return F.transform("alternate_bases", lambda a: a["alt"]) if fields else F.col("alternate_bases"), fields
+
+
+def _parsed(column: str, alts: Column, names: list[str], mode: str) -> Column:
     def one(s: Column) -> Column:
         parts = F.split(s, r"\|", -1)
-        return F.struct(s.alias("text"), parts.alias("parts"), matches(F.col("reference_bases"), F.col("alternate_bases"), parts, names, mode).alias("at"), (F.size(parts) == len(names) + 1).alias("whole"))
+        return F.struct(s.alias("text"), parts.alias("parts"), matches(F.col("reference_bases"), alts, parts, names, mode).alias("at"), (F.size(parts) == len(names) + 1).alias("whole"))
 
     return F.transform(F.coalesce(F.split(column, ","), F.array().cast("array<string>")), one)
 
 
 def attach(variants: DataFrame, column: str, names: list[str], mode: str = "default", types: dict[str, str] | None = None) -> DataFrame:
-    """alternate_bases (strings) -> array of (alt, column: array of (allele, names...)); `column` is the INFO text.
+    """alternate_bases -> array of (alt, column: array of (allele, names...)); `column` is the INFO text. Alternates are
+    strings, or structs with an alt, which keep their other fields.
 
     types: Spark types of fields that aren't text; a value that doesn't fit is null.
     """
@@ -77,15 +86,16 @@ def attach(variants: DataFrame, column: str, names: list[str], mode: str = "defa
     def fields(e: Column) -> Column:
         return F.struct(F.get(e["parts"], F.lit(0)).alias("allele"), *[F.nullif(F.get(e["parts"], F.lit(i + 1)), F.lit("")).try_cast((types or {}).get(n, "string")).alias(n) for i, n in enumerate(names)])
 
-    x = variants.withColumn("_parsed", _parsed(column, names, mode))
+    texts, kept = _alts(variants)
+    x = variants.withColumn("_parsed", _parsed(column, texts, names, mode))
     own = lambda i: F.filter("_parsed", lambda e: e["whole"] & (F.size(e["at"]) == 1) & (F.get(e["at"], F.lit(0)) == i))
-    alts = F.transform("alternate_bases", lambda a, i: F.struct(a.alias("alt"), F.transform(own(i), fields).alias(column)))
+    alts = F.transform("alternate_bases", lambda a, i: F.struct(*([a[f].alias(f) for f in kept] or [a.alias("alt")]), F.transform(own(i), fields).alias(column)))
     return x.withColumn("alternate_bases", alts).drop("_parsed", column)
 
 
 def problems(variants: DataFrame, column: str, names: list[str], mode: str = "default") -> DataFrame:
     """One row: variants with annotations, annotations, those without an alternate, ambiguous, of a wrong field count."""
-    x = variants.select(F.size(_parsed(column, names, mode)).alias("n"), _parsed(column, names, mode).alias("p"))
+    x = variants.select(_parsed(column, _alts(variants)[0], names, mode).alias("p")).withColumn("n", F.size("p"))
     count = lambda test: F.coalesce(F.sum(F.size(F.filter("p", test)).cast("long")), F.lit(0))
     return x.agg(
         F.count_if(F.col("n") > 0).alias("variants"),
