@@ -415,3 +415,18 @@ def keep_one(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5) ->
     gone = work.write(out.join(ranked.where("m > 1"), "component").where("doc_id <> first").select(F.col("doc_id").alias("__row")), "gone")
     found.drop("")  # all that the search has written
     return numbered.join(gone, "__row", "left_anti").drop("__row")
+
+
+#: The twin of `components` at 85 of 100. It joins all texts of a shingle: for small tables only.
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n, b.n AS m, count(*) AS common FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT x, y FROM p WHERE 100 * common >= 85 * (n + m - common)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x),
+c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""

@@ -355,3 +355,17 @@ def remove_repeats(docs: DataFrame, length: int = 400, most: int = MOST) -> Data
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("spans", F.lit(0))).alias("n_spans"),
         F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept", F.lower(F.hex("digest")))).alias("kept_sha256"),
     )
+
+
+#: The twin of `remove_repeats` at 400 bytes: every window of every text, by its hash.
+SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS g FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d)),
+k AS (SELECT g FROM w GROUP BY g HAVING count(*) > 1),
+b AS (SELECT doc_id, i, i - lag(i, 1, -401) OVER (PARTITION BY doc_id ORDER BY i) > 400 AS fresh FROM w SEMI JOIN k USING (g)),
+n AS (SELECT doc_id, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS z FROM n GROUP BY ALL),
+t AS (SELECT doc_id, h, a, z, lag(z, 1, 0) OVER o AS before, lead(a) OVER o IS NULL AS final FROM r JOIN d USING (doc_id) WINDOW o AS (PARTITION BY doc_id ORDER BY a)),
+c AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)) || CASE WHEN final THEN substr(h, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS kept FROM t GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN c USING (doc_id)
+"""
