@@ -80,7 +80,10 @@ def _merged(spark: SparkSession, lines: DataFrame, a: argparse.Namespace) -> tup
     return header.merge(list(by.values()), a.allow_incompatible_records), names
 
 
-def run_import(spark: SparkSession, a: argparse.Namespace) -> None:
+def run_import(spark: SparkSession, a: argparse.Namespace, strategy: merge.MergeStrategy | None = None) -> None:
+    """strategy: a merge strategy of one's own, in place of the named one."""
+    if strategy is None and a.variant_merge_strategy == "MOVE_TO_CALLS":
+        strategy = merge.MoveToCalls(a.info_keys_to_move_to_calls_regex, a.copy_quality_to_calls, a.copy_filter_to_calls)
     shards = shard.load_shards(spark, a.sharding_config_path) if a.sharding_config_path else shard.human_shards()
     if table.exists(spark, a.output_table) != a.append:
         raise ValueError("the table must be there to append, and must not be there else")
@@ -109,8 +112,8 @@ def run_import(spark: SparkSession, a: argparse.Namespace) -> None:
         out = bind.hom_ref_calls(out)
     if a.omit_empty_sample_calls:
         out = bind.without_empty_calls(out)
-    if a.variant_merge_strategy == "MOVE_TO_CALLS":
-        out = merge.move_to_calls(out, a.info_keys_to_move_to_calls_regex, a.copy_quality_to_calls, a.copy_filter_to_calls)
+    if strategy:
+        out = strategy.merge(out)
     out = shard.route(bind.split_wide_rows(out), shards)
     if a.append:
         table.append(out, a.output_table, a.update_schema_on_append)
@@ -124,7 +127,7 @@ def run_import(spark: SparkSession, a: argparse.Namespace) -> None:
 def run_export(spark: SparkSession, a: argparse.Namespace) -> None:
     shards = shard.load_shards(spark, a.sharding_config_path) if a.sharding_config_path else shard.human_shards()
     regions = [shard.parse_region(r) for r in a.genomic_regions]
-    rows = shard.read_regions(spark, a.input_table, regions, shards) if regions else table.read(spark, a.input_table)
+    rows = table.read_regions(spark, a.input_table, regions, shards)
     rows = export.supported(rows.drop("shard", "bucket"))
     people = spark.read.parquet(a.custom_sample_info_table or f"{a.input_table}__sample_info").select("sample_id", "sample_name").distinct()
     if a.sample_names:

@@ -6,6 +6,8 @@ most `window` positions and an equality join carries every overlap.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,3 +90,13 @@ def merge_with_blocks(variants: DataFrame, window: int = WINDOW, info_to_calls:
     joined = sites.join(hit, [*AT, "_key"], "left").withColumn("call", F.array_sort(F.concat("call", F.coalesce("more", F.array().cast(sites.schema["call"].dataType))))).drop("_key", "more", "_w")
     rest = uncovered(parts, spans).select("reference_name", F.col("lo").alias("start_position"), F.col("hi").alias("end_position"), F.lit(None).cast("string").alias("reference_bases"), F.array().cast(joined.schema["alternate_bases"].dataType).alias("alternate_bases"), "names", "quality", "filter", "call")
     return joined.unionByName(rest, allowMissingColumns=True)
+
+
+@dataclass(frozen=True)
+class WithBlocks(merge.MoveToCalls):
+    """Its rows have the schema of `MoveToCalls`."""
+
+    window: int = WINDOW
+
+    def merge(self, variants: DataFrame) -> DataFrame:
+        return merge_with_blocks(variants, self.window, self.info_to_calls, self.copy_quality, self.copy_filter)

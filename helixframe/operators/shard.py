@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MOST_SHARDS, MOST_REGIONS, MOST_BUCKETS = 100, 64, 3999
 END_OF_REFERENCE = (1 << 63) - 1
@@ -178,9 +179,12 @@ def shards_of(region: Region, shards: list[Shard]) -> list[Shard]:
     return list(dict.fromkeys(s for _, s in own)) + rest
 
 
-def read_regions(spark: SparkSession, path: str, regions: list[Region], shards: list[Shard]) -> DataFrame:
-    """Rows of a table of `write_table` that lie in one of the regions. Only folders of their shards and buckets are listed."""
-    table = spark.read.parquet(path)
+def read_regions(spark: SparkSession, path: str, regions: list[Region], shards: list[Shard], schema: T.StructType | None = None) -> DataFrame:
+    """Rows of a table of `write_table` that lie in one of the regions. Only files of their shards and buckets are read.
+
+    schema: the table's own, where appends made it wider than that of its first files.
+    """
+    table = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     each = []
     for r in regions:
         for s in shards_of(r, shards):

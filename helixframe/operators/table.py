@@ -101,6 +101,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def read_regions(spark: SparkSession, path: str, regions: list[shard.Region], shards: list[shard.Shard]) -> DataFrame:
+    """Rows in one of the regions (all, if none is given), with the columns of `read`."""
+    return shard.read_regions(spark, path, regions, shards, read(spark, path).schema)
+
+
 def filled_shards(spark: SparkSession, path: str) -> list[str]:
     """The shards that hold rows: their folders, without reading any."""
     fs, p = _fs(spark, path)

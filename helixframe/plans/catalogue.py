@@ -76,7 +76,34 @@ def q6_private_alternates(spark, sf_dir):
     return x.where("(AC_male = AC) <> (AC_female = AC)").select("k", "alt", "AC")
 
 
-@query()
+VEP = "array<struct<SYMBOL:string,Consequence:string,IMPACT:string>>"
+PATHS = {
+    "reference_name": "string",
+    "start_position": "bigint",
+    "end_position": "bigint",
+    "reference_bases": "string",
+    "alternate_bases": f"array<struct<alt:string,AC:bigint,AN:bigint,AC_male:bigint,AC_female:bigint,vep:{VEP}>>",
+    "alternate_bases.alt": "string",
+    "alternate_bases.AC": "bigint",
+    "alternate_bases.AN": "bigint",
+    "alternate_bases.AC_male": "bigint",
+    "alternate_bases.AC_female": "bigint",
+    "alternate_bases.vep": VEP,
+    "alternate_bases.vep.SYMBOL": "string",
+    "alternate_bases.vep.Consequence": "string",
+    "alternate_bases.vep.IMPACT": "string",
+    "names": "array<string>",
+    "quality": "double",
+    "filter": "array<string>",
+    "call": "array<struct<sample_id:bigint,genotype:array<int>,phaseset:string>>",
+    "call.sample_id": "bigint",
+    "call.genotype": "array<int>",
+    "call.phaseset": "string",
+    "NS": "bigint",
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{p}', '{t}')" for p, t in PATHS.items()) + ") t(field_path, data_type)")
 def q7_column_catalogue(spark, sf_dir):
     """Paths and types of the nested table."""
 
