@@ -66,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.SQL, "op4_near_dedup": near_dedup.SQL, "op5_chat": chat.SQL, "op9_repeats": repeats.SQL}
+    return {"op2_exact_dedup": exact_dedup.SQL, "op4_near_dedup": near_dedup.SQL, "op5_chat": chat.SQL, "op8_nearest": nearest.SQL, "op9_repeats": repeats.SQL}
