@@ -2,12 +2,15 @@
 
 1. Equal vectors are one class: a class keeps its smallest ids, one more than the neighbours asked for, which is all
    that any answer can show; a class as common as a third of the rows is one row from then on.
-2. On a bounded sample of classes (SAMPLE, those with the smallest hash) the exact neighbour graph is cut into balanced
+2. On a bounded sample of classes (`sample` of Cut, those with the smallest hash) the exact neighbour graph is cut into balanced
    parts: balanced seeds, then moves of vertices to the part of most neighbours, as far as room allows.
 3. A small softmax network learns the part of a vector. It puts every class into its most probable part, and routes a
    query to its most probable parts. How many is measured on sample queries against brute force: the fewest whose
    recall reaches TARGET.
-4. A part is searched in blocks of rows against blocks of the queries routed to it, exactly and in double precision;
+4. Where the sample can't tell as many parts apart as the rows ask for (above about a million classes), each part is cut
+   again in the same way, on a sample of its own that one task fits; its probes are measured with sample queries that
+   come to that part. So parts grow with the rows to `most` x `most_inner` of Cut.
+5. A part is searched in blocks of rows against blocks of the queries routed to it, exactly and in double precision;
    the best of all blocks are merged for each query.
 
 Vectors that are null, zero, of another length than most, or that hold null or non-finite components take no part, nor do
@@ -30,10 +33,7 @@ from pyspark.sql import functions as F
 
 from helixframe.llm.common import Workspace, arrow_map
 
-SAMPLE = 8192
 LEARN = 16
-ROWS_A_PART = 4096
-MOST_PARTS = 256
 TARGET = 0.97
 HIDDEN = 96
 EPOCHS = 30
@@ -41,6 +41,18 @@ VECTORS_A_BLOCK = 16_384
 QUERIES_A_BLOCK = 4_096
 
 
+@dataclass(frozen=True)
+class Cut:
+    """How classes are cut into parts: rows a part, sampled rows a part, most parts and sampled rows of both levels."""
+
+    rows: int = 4096
+    sampled: int = 64
+    most: int = 128
+    sample: int = 8192
+    most_inner: int = 64
+    sample_inner: int = 4096
+
+
 def graph(x: np.ndarray, k: int) -> np.ndarray:
     """The k nearest other rows by inner product, in blocks."""
     k = min(k, len(x) - 1)
@@ -99,15 +111,16 @@ class Router:
         return np.argsort(-z, axis=1, kind="stable")
 
 
-def fit(x: np.ndarray, neighbours: int, rows: int, seed: int = 0) -> Router:
-    """x: sampled vectors; rows: how many there are in all."""
+def fit(x: np.ndarray, neighbours: int, rows: int, most: int, cut: Cut, asked: np.ndarray | None = None, seed: int = 0) -> Router:
+    """x: sampled vectors; rows: how many there are in all; asked: sample queries (None: some of x, then not learnt from)."""
     rng = np.random.default_rng(seed)
     dim = x.shape[1] if len(x) else 1
     unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    parts = int(min(MOST_PARTS, max(1, rows // ROWS_A_PART), max(1, len(x) // 64)))
+    parts = int(min(most, max(1, rows // cut.rows), max(1, len(x) // cut.sampled)))
     if parts == 1:
         return Router(np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1, 1)
-    test = rng.permutation(len(x))[: max(50, len(x) // 32)]
+    test = rng.permutation(len(x))[: max(50, len(x) // 32)] if asked is None else np.zeros(0, np.int64)
+    asked = x[test] if asked is None else asked
     part = balanced_parts(unit, graph(unit, LEARN), parts, rng)
     a, c = rng.normal(0, (2 / dim) ** 0.5, (dim, HIDDEN)), rng.normal(0, (1 / HIDDEN) ** 0.5, (HIDDEN, parts))
     r = Router(a, np.zeros(HIDDEN), c, np.zeros(parts), parts)
@@ -133,10 +146,13 @@ def fit(x: np.ndarray, neighbours: int, rows: int, seed: int = 0) -> Router:
                 getattr(r, k)[...] -= 0.004 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     # Probes: the part that each sampled vector lies in, and where in a query's order the parts of its true neighbours are.
     home = r.order(x)[:, 0]
-    rank = np.empty((len(test), parts), np.int64)
-    np.put_along_axis(rank, r.order(x[test]), np.arange(parts)[None, :], axis=1)
-    s = x[test] @ x.T
-    s[np.arange(len(test)), test] = -np.inf
+    rank = np.empty((len(asked), parts), np.int64)
+    np.put_along_axis(rank, r.order(asked), np.arange(parts)[None, :], axis=1)
+    at = {v.tobytes(): i for i, v in enumerate(x)}
+    s = asked @ x.T
+    for i, v in enumerate(asked):
+        if (own := at.get(v.tobytes())) is not None:
+            s[i, own] = -np.inf
     k = min(neighbours, len(x) - 1)
     need = np.take_along_axis(rank, home[np.argpartition(-s, k - 1, axis=1)[:, :k]], axis=1)
     for probes in range(1, parts + 1):
@@ -157,6 +173,52 @@ def _route(shared, probes: int, batches: Iterable[pa.RecordBatch]) -> Iterator[p
         yield pa.RecordBatch.from_arrays([*[c.take(at) for c in batch.columns], pa.array(order.ravel(), pa.int64())], [*batch.schema.names, "part"])
 
 
+def _fit_inner(shared, sizes: dict[int, int], k: int, cut: Cut, key, rows: pd.DataFrame) -> pd.DataFrame:
+    """The router within one part."""
+    rows = rows.sort_values(["h", "least"], kind="stable")
+    outer, picked = pickle.loads(shared.value)
+    come = picked[(outer.order(picked)[:, : outer.probes] == key[0]).any(axis=1)]
+    x = np.array(rows["v"].tolist(), float)
+    r = fit(x, k, sizes[key[0]], cut.most_inner, cut, come if len(come) >= 50 else None)
+    return pd.DataFrame({"part": [key[0]], "router": [pickle.dumps(r)]})
+
+
+def _route_inner(shared, probes: int, most: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a part each, to rows with a part of that part each; those of part p are numbered from p * most."""
+    routers: dict[int, bytes] = pickle.loads(shared.value)
+    ready: dict[int, Router] = {}
+    for batch in batches:
+        x, part = np.array(batch.column("v").to_pylist(), float), batch.column("part").to_numpy()
+        rows, to = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for p in np.unique(part).tolist():
+            if p not in ready:
+                ready[p] = pickle.loads(routers[p])
+            own = np.flatnonzero(part == p)
+            order = ready[p].order(x[own])[:, : probes or ready[p].probes]
+            rows.append(np.repeat(own, order.shape[1]))
+            to.append(order.ravel() + p * most)
+        at = pa.array(np.concatenate(rows))
+        keep = [i for i, c in enumerate(batch.schema.names) if c != "part"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in keep], pa.array(np.concatenate(to), pa.int64())], [*[batch.schema.names[i] for i in keep], "part"])
+
+
+def _cut_again(work: Workspace, placed: DataFrame, asked: DataFrame, router: Router, picked: np.ndarray, k: int, cut: Cut) -> tuple[DataFrame, DataFrame]:
+    """Classes and queries by parts of parts. The driver holds a router for each of at most cut.most parts:
+    about (dimensions + cut.most_inner) x HIDDEN numbers."""
+    sizes = {r.part: r["count"] for r in placed.groupBy("part").count().collect()}  # at most cut.most rows
+    first = Window.partitionBy("part").orderBy("h", "least")
+    sampled = placed.select("least", "v", "part", F.xxhash64("v").alias("h")).withColumn("r", F.row_number().over(first)).where(F.col("r") <= cut.sample_inner)
+    with work.broadcast(pickle.dumps((router, picked))) as shared:
+        inner = work.write(sampled.groupBy("part").applyInPandas(partial(_fit_inner, shared, sizes, k, cut), "part long, router binary"), "inner")
+    # A part that no class is in holds no neighbours.
+    asked = asked.where(F.col("part").isin(list(sizes)))
+    with work.broadcast(pickle.dumps({r.part: bytes(r.router) for r in inner.collect()})) as shared:
+        placed = work.write(arrow_map(placed, _route_inner, "least long, ids array<long>, v array<double>, part long", shared, 1, cut.most_inner), "placed_inner")
+        asked = work.write(arrow_map(asked, _route_inner, "q long, v array<double>, part long", shared, 0, cut.most_inner), "asked_inner")
+    work.drop("placed", "asked", "inner")
+    return placed, asked
+
+
 def _search(k: int, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
     """The best k + 1 classes of one block for each query."""
     if not len(queries) or not len(rows):
@@ -181,7 +243,7 @@ def _search(k: int, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True)
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = SAMPLE) -> DataFrame:
+def search(vectors: DataFrame, every: int = 20, k: int = 20, cut: Cut = Cut()) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows found for each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
     work = Workspace(spark, "nearest")
@@ -200,25 +262,26 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = SAMPL
     classes = few.groupBy("h").agg(F.min("id").alias("least"), F.array_sort(F.collect_list("id")).alias("ids"), F.min_by("v", "r").alias("v"))
     classes = work.write(classes, "classes")
     n = classes.count()
-    picked = np.array([r.v for r in classes.select("v", "h").orderBy("h").limit(sample).collect()], float).reshape(-1, size.n)
-    router = fit(picked, k, n)
+    picked = np.array([r.v for r in classes.select("v", "h").orderBy("h").limit(cut.sample).collect()], float).reshape(-1, size.n)
+    router = fit(picked, k, n, cut.most, cut)
     with work.broadcast(pickle.dumps(router)) as shared:
         placed = work.write(arrow_map(classes.select("least", "ids", "v"), _route, "least long, ids array<long>, v array<double>, part long", shared, 1), "placed")
         asked = arrow_map(rows.where(F.col("id") % every == 0).select("q", "v"), _route, "q long, v array<double>, part long", shared, 0)
         asked = work.write(asked, "asked")
-    blocks = {r.part: -(-r["count"] // VECTORS_A_BLOCK) for r in placed.groupBy("part").count().collect()}  # at most MOST_PARTS rows
-    loads = {r.part: -(-r["count"] // QUERIES_A_BLOCK) for r in asked.groupBy("part").count().collect()}
-
-    def many(of: dict):
-        return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p, c in sorted(of.items()) for x in (int(p), int(c))]), F.col("part")), F.lit(0)) if of else F.lit(0)
+    if n > 2 * cut.rows * router.parts and router.parts > 1:
+        placed, asked = _cut_again(work, placed, asked, router, picked, k, cut)
+    # A row for each part, so at most cut.most x cut.most_inner: small enough to broadcast.
+    blocks = work.write(placed.groupBy("part").agg(F.ceil(F.count("*") / VECTORS_A_BLOCK).cast("int").alias("vbs")), "blocks")
+    loads = work.write(asked.groupBy("part").agg(F.ceil(F.count("*") / QUERIES_A_BLOCK).cast("int").alias("qbs")), "loads")
+    counts = F.broadcast(blocks.join(loads, "part"))
 
-    def deal(df: DataFrame, own: str, mine: dict, other: str, others: dict, key: str) -> DataFrame:
-        """A row goes to one block of its side, and beside every block of the other side."""
-        df = df.withColumn(own, F.pmod(F.xxhash64(key), F.greatest(many(mine), F.lit(1))).cast("int"))
-        return df.withColumn(other, F.explode(F.sequence(F.lit(1), F.greatest(many(others), F.lit(1))))).withColumn(other, F.col(other) - 1)
+    def deal(df: DataFrame, own: str, other: str, key: str) -> DataFrame:
+        """A row goes to one block of its side, and beside every block of the other side; parts that lack a side go."""
+        df = df.join(counts, "part").withColumn(own, F.pmod(F.xxhash64(key), F.col(f"{own}s")).cast("int"))
+        return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).drop("qbs", "vbs")
 
-    left = deal(asked, "qb", loads, "vb", blocks, "q").groupBy("part", "qb", "vb")
-    right = deal(placed, "vb", blocks, "qb", loads, "least").groupBy("part", "qb", "vb")
+    left = deal(asked, "qb", "vb", "q").groupBy("part", "qb", "vb")
+    right = deal(placed, "vb", "qb", "least").groupBy("part", "qb", "vb")
     found = left.cogroup(right).applyInPandas(partial(_pairs, k), "q long, score double, ids array<long>")
     best = Window.partitionBy("q").orderBy(F.desc("score"), F.col("ids")[0])
     found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
