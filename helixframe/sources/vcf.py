@@ -51,7 +51,10 @@ def parse(lines: DataFrame, names: list[str] | dict[str, list[str]] | None = Non
     without it calls are numbered. END in INFO sets the end
     and leaves the map. A quality of 0 or '.' is null. Genotype dots are -1; a phased call without PS has phaseset '*'.
     """
-    x = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", F.split("value", "\t"))
+    # The columns of a line are the one element of an array: filters on them stay above, so neither they nor what a query makes
+    # a line of are worked out again for each.
+    x = lines.withColumn("f", F.explode(F.array(F.split("value", "\t"))))
+    x = x.where(~F.col("f")[0].startswith("#") & ((F.size("f") > 1) | (F.trim(F.col("f")[0]) != "")))
     f = [F.try_element_at("f", F.lit(i + 1)) for i in range(9)]
     pos, info = f[1].try_cast("long"), _pairs(f[7])
     x = x.withColumn("pos", pos).withColumn("all_info", info)
