@@ -103,7 +103,9 @@ def bind(rows: DataFrame, header: Header, lenient: bool = False, split_alternate
         return F.struct(ident.alias("sample_id"), *[c["name"].alias("name")] * call_name, F.transform(c["genotype"], lambda g: g.cast("long")).alias("genotype"), c["phaseset"].alias("phaseset"), *fields)
 
     if not lenient:  # a filter, since a column that nothing reads would go with its error
-        rows = rows.where(_defined(list(info), list(form)))
+        # Of an array's one element, as else the filter would make both anew.
+        once = rows.withColumn("_once", F.explode(F.array(F.struct("info", "call"))))
+        rows = once.withColumn("info", F.col("_once.info")).withColumn("call", F.col("_once.call")).drop("_once").where(_defined(list(info), list(form)))
     alts = F.transform("alternate_bases", lambda a, i: F.struct(a.alias("alt"), *[at(x, i).alias(column_name(x["ID"])) for x in per]))
     return rows.select(
         "reference_name", "start_position", "end_position", "reference_bases", alts.alias("alternate_bases"), "names", "quality",

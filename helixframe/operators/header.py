@@ -100,24 +100,14 @@ def definitions(lines: DataFrame) -> DataFrame:
     return x.groupBy("category", "id", "number", "type").agg(F.slice(F.array_sort(F.collect_set("file_path")), 1, 5).alias("files"))
 
 
-def _inferred(x: DataFrame, flags: bool) -> DataFrame:
-    """x: id, value."""
-    parts = F.filter(F.split("value", ","), lambda v: v != ".")
-    rank = F.when(F.forall(parts, lambda v: v.try_cast("long").isNotNull()), 1).when(F.forall(parts, lambda v: v.try_cast("double").isNotNull()), 2).otherwise(3)
-    rank = F.when(F.col("value").isNull(), 0 if flags else 1).otherwise(rank)
-    out = x.select("id", rank.alias("rank"), F.size(F.split("value", ",")).alias("n")).groupBy("id").agg(F.max("rank").alias("rank"), F.max("n").alias("n"))
-    kind = F.element_at(F.array(*[F.lit(k) for k in ("Flag", "Integer", "Float", "String")]), F.col("rank") + 1)
-    return out.select("id", F.when(F.col("rank") == 0, "0").when(F.col("n") > 1, ".").otherwise("1").alias("number"), kind.alias("type"))
-
-
-def infer_info(rows: DataFrame) -> DataFrame:
-    """key -> number, type, from all values of the info maps: one pass with partial aggregation."""
-    return _inferred(rows.select(F.explode("info").alias("id", "value")), True)
+ORDER = ("Flag", "Integer", "Float", "String")
 
 
-def infer_format(rows: DataFrame) -> DataFrame:
-    """The same for the fields of calls; a value that a call leaves out says nothing, and there are no flags."""
-    return _inferred(rows.select(F.explode("call.info").alias("m")).select(F.explode("m").alias("id", "value")), False)
+def _values(rows: DataFrame) -> dict[str, DataFrame]:
+    """(id, value, alts) of every value of INFO and FORMAT."""
+    n = F.size("alternate_bases").alias("alts")
+    calls = rows.select(F.explode("call.info").alias("m"), n)
+    return {"INFO": rows.select(F.explode("info").alias("id", "value"), n), "FORMAT": calls.select(F.explode("m").alias("id", "value"), "alts")}
 
 
 def fits(value: Column, kind: str) -> Column:
@@ -134,39 +124,49 @@ def fits(value: Column, kind: str) -> Column:
     return F.lit(kind)
 
 
-def corrections(rows: DataFrame, header: Header) -> Header:
-    """Definitions that the values don't fit, mended: a wider type; a number of 1 for which there are lists, or one value for
-    each alternate for which there are others, becomes '.'. One pass with partial aggregation for each section."""
-    out = Header(samples=header.samples)
-    order = ["Flag", "Integer", "Float", "String"]
-    values = {"INFO": rows.select(F.explode("info").alias("id", "value"), F.size("alternate_bases").alias("alts")), "FORMAT": rows.select(F.explode("call.info").alias("m"), F.size("alternate_bases").alias("alts")).select(F.explode("m").alias("id", "value"), "alts")}
-    for kind, x in values.items():
-        own = {k: d for k, d in header.sections[kind].items() if d["Type"] in order}
-        if not own:
-            continue
-        fit, n = F.lit(None).cast("string"), F.size(F.split("value", ","))
-        for t in order:
-            ids = [k for k, d in own.items() if d["Type"] == t]
-            fit = F.when(F.col("id").isin(ids), fits(F.col("value"), t)).otherwise(fit) if ids else fit
-        lists = F.when(F.col("id").isin([k for k, d in own.items() if d["Number"] == "1"]), n > 1).when(F.col("id").isin([k for k, d in own.items() if d["Number"] == "A"]), n != F.col("alts")).otherwise(False)
-        rank = F.array_position(F.array(*[F.lit(t) for t in order]), fit)
-        found = x.where(F.col("id").isin(list(own))).select("id", rank.alias("rank"), F.coalesce(lists & F.col("value").isNotNull(), F.lit(False)).alias("lists")).groupBy("id").agg(F.max("rank").alias("rank"), F.max("lists").alias("lists"))
-        for r in found.collect():  # a row for each defined field
-            d = own[r.id]
-            new = d | {"Type": order[r["rank"] - 1], "Number": "." if r.lists else "1" if d["Type"] == "Flag" and order[r["rank"] - 1] != "Flag" else d["Number"]}
-            if new != d:
-                out.sections[kind][r.id] = new
-    return out
+def _seen(x: DataFrame, kind: str, own: dict[str, dict[str, str]]) -> DataFrame:
+    """A row for each id of `_values`: the number and type that its values show, and for those with a definition in `own` how far along
+    ORDER a type must be to hold all values (`fit`) and whether their number is not the defined one (`lists`). One pass with
+    partial aggregation."""
+    parts = F.filter(F.split("value", ","), lambda v: v != ".")
+    rank = F.when(F.forall(parts, lambda v: v.try_cast("long").isNotNull()), 1).when(F.forall(parts, lambda v: v.try_cast("double").isNotNull()), 2).otherwise(3)
+    # A format value that a call leaves out says nothing, and there are no flags.
+    rank = F.when(F.col("value").isNull(), 0 if kind == "INFO" else 1).otherwise(rank)
+    fit, n = F.lit(None).cast("string"), F.size(F.split("value", ","))
+    for t in ORDER:
+        ids = [k for k, d in own.items() if d["Type"] == t]
+        fit = F.when(F.col("id").isin(ids), fits(F.col("value"), t)).otherwise(fit) if ids else fit
+    lists = F.when(F.col("id").isin([k for k, d in own.items() if d["Number"] == "1"]), n > 1).when(F.col("id").isin([k for k, d in own.items() if d["Number"] == "A"]), n != F.col("alts")).otherwise(False)
+    order = F.array(*[F.lit(t) for t in ORDER])
+    out = x.select("id", rank.alias("rank"), n.alias("n"), F.array_position(order, fit).alias("fit"), F.coalesce(lists & F.col("value").isNotNull(), F.lit(False)).alias("lists"))
+    out = out.groupBy("id").agg(*[F.max(c).alias(c) for c in ("rank", "n", "fit", "lists")])
+    number = F.when(F.col("rank") == 0, "0").when(F.col("n") > 1, ".").otherwise("1")
+    return out.select("id", number.alias("number"), F.element_at(order, F.col("rank") + 1).alias("type"), "fit", "lists")
+
+
+def infer_info(rows: DataFrame) -> DataFrame:
+    """key -> number, type, from all values of the info maps."""
+    return _seen(_values(rows)["INFO"], "INFO", {}).select("id", "number", "type")
+
+
+def infer_format(rows: DataFrame) -> DataFrame:
+    """The same for the fields of calls."""
+    return _seen(_values(rows)["FORMAT"], "FORMAT", {}).select("id", "number", "type")
 
 
 def completed(rows: DataFrame, header: Header) -> Header:
-    """The header with what the rows show: undefined fields inferred, and definitions corrected that values don't fit."""
+    """The header with what the rows show, in one pass for each section: undefined fields inferred, and definitions that values
+    don't fit mended: a wider type; a number of 1 for which there are lists, or one value for each alternate for which there
+    are others, becomes '.'."""
     out = Header({k: dict(v) for k, v in header.sections.items()}, header.samples)
-    for kind, more in corrections(rows, header).sections.items():
-        out.sections[kind].update(more)
-    for kind, found in (("INFO", infer_info(rows)), ("FORMAT", infer_format(rows))):
-        for r in found.orderBy("id").collect():  # a row for each field
-            if r.id not in out.sections[kind] and r.id not in ("END", "GT", "PS"):
+    for kind, x in _values(rows).items():
+        own = {k: d for k, d in header.sections[kind].items() if d["Type"] in ORDER}
+        for r in _seen(x, kind, own).orderBy("id").collect():  # a row for each field
+            if r.id in own:
+                d, wider = own[r.id], ORDER[r.fit - 1]
+                number = "." if r.lists else "1" if d["Type"] == "Flag" and wider != "Flag" else d["Number"]
+                out.sections[kind][r.id] = d | {"Type": wider, "Number": number}
+            elif r.id not in out.sections[kind] and r.id not in ("END", "GT", "PS"):
                 out.sections[kind][r.id] = {"ID": r.id, "Number": r.number, "Type": r.type, "Description": ""}
     return out
 

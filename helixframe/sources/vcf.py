@@ -57,7 +57,7 @@ def parse(lines: DataFrame, names: list[str] | dict[str, list[str]] | None = Non
     x = x.where(~F.col("f")[0].startswith("#") & ((F.size("f") > 1) | (F.trim(F.col("f")[0]) != "")))
     f = [F.try_element_at("f", F.lit(i + 1)) for i in range(9)]
     pos, info = f[1].try_cast("long"), _pairs(f[7])
-    x = x.withColumn("pos", pos).withColumn("all_info", info)
+    x = x.withColumn("pos", pos).withColumn("all_info", F.explode(F.array(info)))
     last = F.coalesce(F.try_element_at("all_info", F.lit("END")).try_cast("long"), F.col("pos") - 1 + F.length(f[3]))
     bad = F.when(F.size("f") < 8, "too few columns").when(F.col("pos").isNull() | (F.col("pos") < 1), "position").when(last < 0, "end").when((f[5] != ".") & f[5].try_cast("double").isNull(), "quality")
     keys, samples = F.split(f[8], ":"), F.slice("f", F.lit(10), F.greatest(F.size("f") - 9, F.lit(0)))
